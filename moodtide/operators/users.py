@@ -56,15 +56,12 @@ def semi_join_eligible_authors(posts: DataFrame, min_posts: int, row_key: str =
     )
     spread = posts.join(F.broadcast(hot), "author_norm", "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(row_key), F.lit(_SALTS))).otherwise(F.lit(0)),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(row_key), F.lit(_SALTS)).cast("int")).otherwise(F.lit(0)),
     )
     eligible = counts.filter(F.col("total_posts_by_user") >= min_posts)
     last = F.when(F.col("total_posts_by_user") > total * _HOT_SHARE, F.lit(_SALTS - 1)).otherwise(F.lit(0))
-    salted = eligible.select("author_norm", F.explode(F.sequence(F.lit(0), last)).cast("bigint").alias("_salt"))
-    joined = spread.withColumn("_salt", F.col("_salt").cast("bigint")).join(
-        salted, ["author_norm", "_salt"], "left_semi"
-    )
-    return joined.select(*posts.columns)
+    salted = eligible.select("author_norm", F.explode(F.sequence(F.lit(0), last)).alias("_salt"))
+    return spread.join(salted, ["author_norm", "_salt"], "left_semi").select(*posts.columns)
 
 
 def author_topics(posts: DataFrame, study: Study) -> DataFrame:
