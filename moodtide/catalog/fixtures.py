@@ -9,7 +9,7 @@ from moodtide.config import Period, Study, Topic
 from moodtide.operators.measures import measured
 from moodtide.operators.posts import with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns, label_to_sentiment
-from moodtide.session import prepare_session, scratch_path
+from moodtide.session import prepare_session, scratch_path, spread_small_scan
 
 STUDY = Study(
     groups=tuple(f"src{i}" for i in range(12)),
@@ -69,9 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The named columns of the documents, spread over the cores for the text work."""
+    return spread_small_scan(table(spark, sf_dir, "documents").select(*columns))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document side of a post: key, group, title and body."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "doc_id", "source", "text")
     title = F.split_part("text", F.lit("\n"), F.lit(1))
     return docs.select(
         "doc_id", F.col("source").alias("subreddit"), title.alias("title"),
@@ -146,7 +151,7 @@ def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adversarial_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "doc_id", "text").select(
         "doc_id", F.concat(F.col("text"), F.lit(" "), _pick(list(ADVERSARIAL))).alias("text")
     )
 
@@ -171,7 +176,7 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, id, cleaned_text) of whole documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("id"), "text")
+    docs = texts(spark, sf_dir, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
     return with_cleaned_text(docs, "text").drop("text")
 
 

@@ -36,3 +36,14 @@ def durable(df: DataFrame) -> DataFrame:
     costs a re-read instead of a recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than there are cores.
+
+    Text work is far more expensive than moving the text once, and a compressed file or a file of
+    one row group is a single split. A scan that already has a split per core, as any large one
+    does, is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
