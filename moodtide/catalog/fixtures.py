@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moodtide.config import Period, Study, Topic
 from moodtide.operators.measures import measured
-from moodtide.operators.posts import with_cleaned_text
+from moodtide.operators.posts import drop_empty_text, with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns, label_to_sentiment
 from moodtide.session import prepare_session, scratch_path, spread_small_scan
 
@@ -183,7 +183,9 @@ def cleaned_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned documents that carry a label: the classifiers' training data."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return cleaned_docs(spark, sf_dir).join(labels.filter(F.col("label").isNotNull()), "doc_id").drop("doc_id")
+    docs = texts(spark, sf_dir, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
+    labeled = docs.join(labels.filter(F.col("label").isNotNull()), "doc_id")
+    return drop_empty_text(with_cleaned_text(labeled, "text").select("id", "label", "cleaned_text"))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

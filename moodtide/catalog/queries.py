@@ -171,12 +171,13 @@ _MODEL_ROWS = f"SELECT term, {o.r6('idf')} AS idf, {o.r6('coefficient')} AS coef
 
 
 def _split(spark, sf) -> DataFrame:
-    return models.stratified_split(post_ops.drop_empty_text(fx.labeled_docs(spark, sf)))
+    """Cleaned labelled rows, written once, with their split."""
+    rows = durable(fx.labeled_docs(spark, sf))
+    return models.apply_split(rows, durable(models.split_thresholds(rows)))
 
 
 def _train(spark, sf) -> DataFrame:
-    """Training rows, written once: vocabulary, weights and priors all read them."""
-    return durable(_split(spark, sf).filter(F.col("split") == "train").drop("split"))
+    return _split(spark, sf).filter(F.col("split") == "train").drop("split")
 
 
 def _bayes(train: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -824,8 +825,8 @@ _VOCAB = o.vocabulary("terms", "docs", o.TOP_TERMS)
 
 
 def _all_terms(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Cleaned documents, their term counts, and the vocabulary."""
-    docs = fx.cleaned_docs(spark, sf).select("id", "cleaned_text")
+    """Cleaned documents (written once, as two passes read them), term counts and vocabulary."""
+    docs = durable(fx.cleaned_docs(spark, sf).select("id", "cleaned_text"))
     terms = features.term_counts(docs)
     return docs, terms, features.vocabulary_topn(features.document_frequency(terms, docs), o.TOP_TERMS)
 
@@ -1554,7 +1555,8 @@ def tfidf_weights(spark, sf):
 
 @query("stratified_split", o.model_sql("SELECT id, label, split FROM split"))
 def stratified_split(spark, sf):
-    return _split(spark, sf).select("id", "label", "split")
+    rows = durable(fx.labeled_docs(spark, sf))
+    return models.stratified_split(rows).select("id", "label", "split")
 
 
 @query(
@@ -1579,7 +1581,7 @@ def predict_sentiment(spark, sf):
 
 
 def _test_scored(spark, sf) -> DataFrame:
-    split = durable(_split(spark, sf))
+    split = _split(spark, sf)
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     return models.predict_sentiment(test, durable(_bayes_model(train)), o.TOP_TERMS, keep=("label",))
 
@@ -1626,4 +1628,4 @@ def train_logistic_regression(spark, sf):
 
 @query("model_selection")
 def model_selection(spark, sf):
-    return fit_both(post_ops.drop_empty_text(fx.labeled_docs(spark, sf)), o.TOP_TERMS).selection
+    return fit_both(fx.labeled_docs(spark, sf), o.TOP_TERMS).selection

@@ -49,44 +49,54 @@ def split_sizes(label_counts: DataFrame, test_percent: int = TEST_SHARE_PERCENT)
     return sized.select("label", (F.col("n") - F.col("base") - F.col("extra")).alias("n_test"))
 
 
-def stratified_split(
+def split_thresholds(
     docs: DataFrame, key: str = "id", label: str = "label", test_percent: int = TEST_SHARE_PERCENT,
     seed: int = SEED,
 ) -> DataFrame:
-    """Adds ``split`` ("test" / "train"): exact share per label, repeatable for a seed.
+    """One row per label: the hash up to which a row belongs to the test set.
 
     The first rows of each label in hash order are the test set. Ranking a whole label would put
-    it into one task, so the cut is located first: a histogram of hash prefixes per label (a
-    bounded table) tells which cell the cut falls into, and only the rows of that one cell, about
-    one in 65,536, are ranked. All other rows are decided by comparing their cell with it.
+    it into one task, so the cut is located in two steps that read only key and label: a histogram
+    of hash prefixes (at most 65,536 cells per label) tells which cell the cut falls into, then
+    the counts of the hashes in that one cell tell where. Rows sharing a key share a hash; they are
+    counted together before the shuffle and stay on one side.
     """
-    hashed = docs.withColumn("_h", split_hash(F.col(key), seed)).withColumn(
+    hashed = docs.select(F.col(label).alias("_label"), split_hash(F.col(key), seed).alias("_h")).withColumn(
         "_cell", F.substring("_h", 1, _CELL_DIGITS)
     )
-    cells = hashed.groupBy(F.col(label).alias("label"), "_cell").agg(F.count(F.lit(1)).alias("n"))
-    sizes = split_sizes(cells.groupBy("label").agg(F.sum("n").alias("n")), test_percent)
-    running = F.sum("n").over(Window.partitionBy("label").orderBy("_cell"))
+    cells = hashed.groupBy("_label", "_cell").agg(F.count(F.lit(1)).alias("n"))
+    sizes = split_sizes(cells.groupBy(F.col("_label").alias("label")).agg(F.sum("n").alias("n")), test_percent)
+    upto = F.sum("n").over(Window.partitionBy("_label").orderBy("_cell"))
     cut = (
-        cells.withColumn("upto", running)
-        .join(F.broadcast(sizes), "label")
+        cells.withColumn("upto", upto)
+        .join(F.broadcast(sizes.withColumnRenamed("label", "_label")), "_label")
         .filter((F.col("upto") >= F.col("n_test")) & (F.col("upto") - F.col("n") < F.col("n_test")))
-        .select(
-            F.col("label").alias("_label"),
-            F.col("_cell").alias("_cut"),
-            (F.col("n_test") - F.col("upto") + F.col("n")).alias("_take"),
-        )
-    )
-    placed = hashed.join(F.broadcast(cut), F.col(label) == F.col("_label"), "left")
-    columns = [F.col(c) for c in docs.columns]
-    decided = placed.filter(F.col("_cut").isNull() | (F.col("_cell") != F.col("_cut"))).select(
-        *columns, F.when(F.col("_cell") < F.col("_cut"), F.lit("test")).otherwise(F.lit("train")).alias("split")
+        .select("_label", "_cell", (F.col("n_test") - F.col("upto") + F.col("n")).alias("take"))
     )
-    rank = F.row_number().over(Window.partitionBy("_label").orderBy("_h"))
-    in_cut_cell = placed.filter(F.col("_cell") == F.col("_cut")).withColumn("_rank", rank)
-    ranked = in_cut_cell.select(
-        *columns, F.when(F.col("_rank") <= F.col("_take"), F.lit("test")).otherwise(F.lit("train")).alias("split")
+    within = hashed.join(F.broadcast(cut), ["_label", "_cell"]).groupBy("_label", "take", "_h").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    return decided.unionByName(ranked)
+    reached = F.sum("n").over(Window.partitionBy("_label").orderBy("_h")) >= F.col("take")
+    last = F.min(F.when(F.col("reached"), F.col("_h"))).alias("last_test_hash")
+    return within.withColumn("reached", reached).groupBy("_label").agg(last)
+
+
+def apply_split(
+    docs: DataFrame, thresholds: DataFrame, key: str = "id", label: str = "label", seed: int = SEED
+) -> DataFrame:
+    """Adds ``split`` by comparing each row's hash with its label's threshold; no shuffle."""
+    placed = docs.join(F.broadcast(thresholds), F.col(label) == F.col("_label"), "left")
+    in_test = split_hash(F.col(key), seed) <= F.col("last_test_hash")
+    split = F.when(in_test, F.lit("test")).otherwise(F.lit("train"))
+    return placed.select(*docs.columns, split.alias("split"))
+
+
+def stratified_split(
+    docs: DataFrame, key: str = "id", label: str = "label", test_percent: int = TEST_SHARE_PERCENT,
+    seed: int = SEED,
+) -> DataFrame:
+    """Adds ``split`` ("test" / "train"): exact share per label, repeatable for a seed."""
+    return apply_split(docs, split_thresholds(docs, key, label, test_percent, seed), key, label, seed)
 
 
 def fit_vocabulary(train: DataFrame, max_features: int = MAX_FEATURES, key: str = "id") -> DataFrame:

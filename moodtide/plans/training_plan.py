@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from moodtide.operators.features import MAX_FEATURES
 from moodtide.operators.models import (
-    class_log_prior, fit_vocabulary, model_selection, naive_bayes_model, predict_sentiment,
-    stratified_split, train_logistic_regression, train_naive_bayes,
+    apply_split, class_log_prior, fit_vocabulary, model_selection, naive_bayes_model, predict_sentiment,
+    split_thresholds, train_logistic_regression, train_naive_bayes,
 )
 from moodtide.session import durable
 
@@ -26,9 +26,11 @@ class Trained:
 def fit_both(labeled: DataFrame, max_features: int = MAX_FEATURES) -> Trained:
     """Split, fit both models on the training part and compare them on the rest.
 
-    The split rows and the vocabulary are written once: both fits read them several times.
+    Cleaned rows, split thresholds and vocabulary are written once: both fits read them several
+    times, and the thresholds need only two of the columns.
     """
-    split = durable(stratified_split(labeled))
+    rows = durable(labeled)
+    split = apply_split(rows, durable(split_thresholds(rows)))
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     vocabulary = durable(fit_vocabulary(train, max_features))
     log_probs = train_naive_bayes(train, vocabulary, max_features)

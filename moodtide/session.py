@@ -32,10 +32,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and cut its lineage, so a lost executor
-    costs a re-read instead of a recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once below the shared folder and go on from that table.
+
+    Cuts the lineage, so a lost executor costs a re-read instead of a recomputation, and computes
+    the plan once. As Parquet, later steps still read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
