@@ -209,7 +209,7 @@ def write_zst_lines(lines: DataFrame, path: str, window_log: int = 28) -> None:
         parameters = zstandard.ZstdCompressionParameters.from_level(3, window_log=window_log)
         compressor = zstandard.ZstdCompressor(compression_params=parameters)
         count = 0
-        with filesystem.open_output_stream(name) as raw, compressor.stream_writer(raw, closefd=False) as out:
+        with filesystem.open_output_stream(name, compression=None) as raw, compressor.stream_writer(raw, closefd=False) as out:
             for batch in batches:
                 for value in batch.column(0).to_pylist():
                     out.write(value.encode("utf-8") + b"\n")

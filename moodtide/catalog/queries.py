@@ -1532,8 +1532,8 @@ def tokenize(spark, sf):
     o.docs_sql(f"SELECT term, doc_freq, corpus_freq, {o.r6('idf')} AS idf FROM freq", _VOCAB),
 )
 def document_frequency(spark, sf):
-    docs = fx.cleaned_docs(spark, sf).select("id", "cleaned_text")
-    return rounded(features.document_frequency(features.term_counts(docs), docs))
+    terms = features.term_counts(fx.cleaned_docs(spark, sf))
+    return rounded(features.document_frequency(terms, fx.table(spark, sf, "documents")))
 
 
 @query(

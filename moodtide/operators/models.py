@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodtide.operators.features import (
-    MAX_FEATURES, document_frequency, score_documents, term_counts, tfidf_weights, vocabulary_topn,
+    MAX_FEATURES, attach_vocabulary, document_frequency, score_documents, term_counts, tfidf_weights, vocabulary_topn,
 )
 from moodtide.operators.tagging import label_to_sentiment
 from moodtide.session import durable
@@ -172,7 +172,7 @@ def train_logistic_regression(
     )
     entries = F.array_sort(F.collect_list(F.struct("idx", "weight")))
     per_doc = (
-        weights.join(F.broadcast(indexed.select("term", "idx")), "term")
+        attach_vocabulary(weights, indexed.select("term", "idx"), max_features)
         .groupBy(key, "label").agg(entries.alias("entries"))
     )
     all_docs = train.select(key, "label").join(per_doc.drop("label"), key, "left")

@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moodtide.config import Study
+from moodtide.functions.text import null_literals
 from moodtide.operators.ingest import FILE_ORDER, dedup_by_id, keep_accepted
 from moodtide.operators.posts import build_final_text, drop_empty_text, select_fields, with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns
+from moodtide.sources.csv import csv_null_literals
 from moodtide.sources.text_lines import scan_lines
 
 
-def merged_posts(lines: DataFrame, study: Study) -> DataFrame:
-    """Accepted, standardised posts, one per id."""
-    return dedup_by_id(keep_accepted(lines, study)).drop(*FILE_ORDER)
+def merged_posts(lines: DataFrame, study: Study, na_literals: bool = True) -> DataFrame:
+    """Accepted, standardised posts, one per id.
 
+    With ``na_literals`` the spellings a CSV reader takes for missing ("NA", "null", ...) are
+    missing here too, as they are where the stages exchange CSV files.
+    """
+    kept = keep_accepted(lines, study)
+    return dedup_by_id(csv_null_literals(kept) if na_literals else kept).drop(*FILE_ORDER)
 
-def cleaned_posts(merged: DataFrame) -> DataFrame:
+
+def cleaned_posts(merged: DataFrame, na_literals: bool = True) -> DataFrame:
     """Posts with non-empty cleaned text."""
-    return drop_empty_text(with_cleaned_text(build_final_text(select_fields(merged))))
+    cleaned = with_cleaned_text(build_final_text(select_fields(merged)))
+    if na_literals:
+        present = null_literals(F.col("cleaned_text")).isNotNull()
+        cleaned = cleaned.filter(present)
+    return drop_empty_text(cleaned)
 
 
 def tagged_posts(cleaned: DataFrame, study: Study) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from moodtide.operators.models import MODEL_COLUMNS
 
@@ -31,7 +30,7 @@ def read_topic_definitions(spark: SparkSession, path: str) -> DataFrame:
 def write_partitioned_posts(tagged: DataFrame, path: str) -> None:
     """Large stage output: Parquet by month, so later month filters prune partitions.
 
-    Rows of a month are spread over a few writers by id, so no month becomes one task.
+    Rebalancing gathers a month's rows into few files, and splits a month that is far larger than
+    the rest over as many tasks as its size asks for.
     """
-    spread = F.pmod(F.xxhash64("id"), F.lit(16)).alias("_w")
-    tagged.repartition("year_month", spread).write.partitionBy("year_month").parquet(path)
+    tagged.hint("rebalance", "year_month").write.partitionBy("year_month").parquet(path)

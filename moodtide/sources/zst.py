@@ -47,7 +47,7 @@ class ZstLinesReader(DataSourceReader):
 
         filesystem, path = fs.FileSystem.from_uri(partition.path)
         names = ["src_file", "src_row", "value"]
-        with filesystem.open_input_stream(path) as raw:
+        with filesystem.open_input_stream(path, compression=None) as raw:
             decoder = zstandard.ZstdDecompressor(max_window_size=MAX_WINDOW)
             text = io.TextIOWrapper(decoder.stream_reader(raw, read_across_frames=True), encoding="utf-8")
             start = 0
