@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moodtide.config import Period, Study, Topic
 from moodtide.operators.measures import measured
-from moodtide.operators.posts import drop_empty_text, with_cleaned_text
+from moodtide.operators.posts import keep_with_cleaned_text, with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns, label_to_sentiment
 from moodtide.session import prepare_session, scratch_path, spread_small_scan
 
@@ -161,11 +161,12 @@ def _probabilities() -> list[Column]:
     return [(1.0 - positive).alias("prob_negative"), positive.alias("prob_positive")]
 
 
-def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tagged(spark: SparkSession, sf_dir: str, for_filter: bool = False) -> DataFrame:
     """Topic-tagged posts. Text is cleaned and searched on the document side, before the joins,
     so no text is ever shuffled."""
     docs = documents(spark, sf_dir).select("doc_id", "subreddit", "body")
-    flagged = add_topic_columns(with_cleaned_text(docs, "body"), STUDY).drop("body", "cleaned_text")
+    cleaned = with_cleaned_text(docs, "body")
+    flagged = add_topic_columns(cleaned, STUDY, for_filter=for_filter).drop("body", "cleaned_text")
     people = add_time_columns(with_people(spark, sf_dir, flagged), STUDY)
     return people.select("*", label_to_sentiment().alias("predicted_sentiment"), *_probabilities())
 
@@ -185,7 +186,7 @@ def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = texts(spark, sf_dir, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
     labeled = docs.join(labels.filter(F.col("label").isNotNull()), "doc_id")
-    return drop_empty_text(with_cleaned_text(labeled, "text").select("id", "label", "cleaned_text"))
+    return keep_with_cleaned_text(labeled, "text").select("id", "label", "cleaned_text")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

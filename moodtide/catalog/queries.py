@@ -470,8 +470,7 @@ _BODIES = f"bodies AS (SELECT id, {o.clean('body')} AS cleaned_text FROM posts)"
     f"WITH {o.POSTS}, {_BODIES} SELECT id, length(cleaned_text) AS chars FROM bodies WHERE trim(cleaned_text) <> ''",
 )
 def drop_empty_text(spark, sf):
-    cleaned = post_ops.with_cleaned_text(fx.posts(spark, sf).select("id", "body"), "body")
-    return post_ops.drop_empty_text(cleaned).select("id", F.length("cleaned_text").cast("bigint").alias("chars"))
+    return post_ops.keep_with_cleaned_text(fx.posts(spark, sf).select("id", "body"), "body").select("id", F.length("cleaned_text").cast("bigint").alias("chars"))
 
 
 @query(
@@ -495,7 +494,7 @@ def filter_valid_labels(spark, sf):
 
 @query("filter_topic_members", o.tagged_sql("SELECT id, topic_alpha, topic_beta FROM t WHERE topic_alpha = 1 AND topic_beta = 0"))
 def filter_topic_members(spark, sf):
-    posts = fx.tagged(spark, sf).select("id", "topic_alpha", "topic_beta")
+    posts = fx.tagged(spark, sf, for_filter=True).select("id", "topic_alpha", "topic_beta")
     return posts.filter((F.col("topic_alpha") == 1) & (F.col("topic_beta") == 0))
 
 
@@ -1576,7 +1575,8 @@ def train_naive_bayes(spark, sf):
 )
 def predict_sentiment(spark, sf):
     model = durable(_bayes_model(_train(spark, sf)))
-    docs = post_ops.drop_empty_text(fx.cleaned_docs(spark, sf).select("id", "cleaned_text"))
+    texts = fx.texts(spark, sf, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
+    docs = post_ops.keep_with_cleaned_text(texts, "text").select("id", "cleaned_text")
     return rounded(models.predict_sentiment(docs, model, o.TOP_TERMS))
 
 

@@ -22,13 +22,13 @@ def _flag(topic: str):
 
 def recruiting_period_summary(rows: DataFrame, study: Study) -> DataFrame:
     """H1: sentiment of the recruiting topic, before and after."""
+    topic = _flag(study.recruiting_topic)
     table = bucket_agg(
-        valid(rows).filter(_flag(study.recruiting_topic)), [],
-        period_buckets((study.before_period, study.after_period)),
+        valid(rows), [], period_buckets((study.before_period, study.after_period)),
         lambda cond: {
-            **sentiment_sums(cond),
-            "avg_prob_positive": mean_prob("prob_positive", cond),
-            "avg_prob_negative": mean_prob("prob_negative", cond),
+            **sentiment_sums(cond & topic),
+            "avg_prob_positive": mean_prob("prob_positive", cond & topic),
+            "avg_prob_negative": mean_prob("prob_negative", cond & topic),
         },
     )
     return table.orderBy("period_ord").select(

@@ -66,8 +66,8 @@ def title_body_availability(normalized: DataFrame) -> DataFrame:
 
 
 def with_cleaned_text(posts: DataFrame, text: str = "final_text") -> DataFrame:
-    """Adds ``cleaned_text``, computed once per row."""
-    return compute_once(posts, cleaned_text=clean_text(normalize_text(F.col(text))))
+    """Adds ``cleaned_text``: a plain projection, dropped from the plan where nothing uses it."""
+    return posts.withColumn("cleaned_text", clean_text(normalize_text(F.col(text))))
 
 
 def drop_empty_text(posts: DataFrame, text: str = "cleaned_text") -> DataFrame:
@@ -75,6 +75,11 @@ def drop_empty_text(posts: DataFrame, text: str = "cleaned_text") -> DataFrame:
     return posts.filter(F.coalesce(F.length(F.trim(F.col(text))) > 0, F.lit(False)))
 
 
+def keep_with_cleaned_text(posts: DataFrame, text: str = "final_text") -> DataFrame:
+    """Adds ``cleaned_text`` and drops the rows where it is empty, cleaning each text once."""
+    return drop_empty_text(compute_once(posts, cleaned_text=clean_text(normalize_text(F.col(text)))))
+
+
 def drop_accounting(posts: DataFrame, kept: Column) -> DataFrame:
     """One row: rows before, dropped and remaining under a keep condition, in one pass."""
     keep = F.coalesce(kept, F.lit(False))
@@ -94,4 +99,4 @@ def recode_label(posts: DataFrame) -> DataFrame:
 
 def preprocess_labeled(labeled: DataFrame) -> DataFrame:
     """Labelled rows with cleaned, non-empty text."""
-    return drop_empty_text(with_cleaned_text(labeled, "text"))
+    return keep_with_cleaned_text(labeled, "text")

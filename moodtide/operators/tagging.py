@@ -34,14 +34,18 @@ def add_time_columns(posts: DataFrame, study: Study) -> DataFrame:
     )
 
 
-def add_topic_columns(posts: DataFrame, study: Study, text: str = "cleaned_text") -> DataFrame:
+def add_topic_columns(
+    posts: DataFrame, study: Study, text: str = "cleaned_text", for_filter: bool = False
+) -> DataFrame:
     """Adds per topic a 0/1 flag and the matched keywords, and the list, number and any-flag.
 
     Purely per row. The text is searched once; flags and keyword lists are read from the hits.
+    Set ``for_filter`` if rows are going to be filtered by these columns: the search is then not
+    repeated in the filter, at the price of being done even if no column is used.
     """
-    found = compute_once(
-        require_columns(posts, (text,)), _hits=keyword_hits(F.coalesce(F.col(text), F.lit("")), study.topics)
-    )
+    search = keyword_hits(F.coalesce(text, F.lit("")), study.topics)
+    require_columns(posts, (text,))
+    found = compute_once(posts, _hits=search) if for_filter else posts.withColumn("_hits", search)
     hits = F.col("_hits")
     tagged = found.select(
         "*",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from moodtide.config import Study
 from moodtide.functions.text import null_literals
 from moodtide.operators.ingest import FILE_ORDER, dedup_by_id, keep_accepted
-from moodtide.operators.posts import build_final_text, drop_empty_text, select_fields, with_cleaned_text
+from moodtide.operators.posts import build_final_text, keep_with_cleaned_text, select_fields
 from moodtide.operators.tagging import add_time_columns, add_topic_columns
 from moodtide.sources.csv import csv_null_literals
 from moodtide.sources.text_lines import scan_lines
@@ -26,11 +26,8 @@ def merged_posts(lines: DataFrame, study: Study, na_literals: bool = True) -> Da
 
 def cleaned_posts(merged: DataFrame, na_literals: bool = True) -> DataFrame:
     """Posts with non-empty cleaned text."""
-    cleaned = with_cleaned_text(build_final_text(select_fields(merged)))
-    if na_literals:
-        present = null_literals(F.col("cleaned_text")).isNotNull()
-        cleaned = cleaned.filter(present)
-    return drop_empty_text(cleaned)
+    cleaned = keep_with_cleaned_text(build_final_text(select_fields(merged)))
+    return cleaned.filter(null_literals(F.col("cleaned_text")).isNotNull()) if na_literals else cleaned
 
 
 def tagged_posts(cleaned: DataFrame, study: Study) -> DataFrame:
