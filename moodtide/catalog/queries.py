@@ -183,7 +183,8 @@ def _train(spark, sf) -> DataFrame:
 def _bayes(train: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vocabulary and Naive Bayes log probabilities."""
     vocabulary = durable(models.fit_vocabulary(train, o.TOP_TERMS))
-    return vocabulary, models.train_naive_bayes(train, vocabulary, o.TOP_TERMS)
+    vectors = features.document_vectors(train, vocabulary, o.TOP_TERMS)
+    return vocabulary, models.train_naive_bayes(vectors, vocabulary)
 
 
 def _bayes_model(train: DataFrame) -> DataFrame:
@@ -1623,7 +1624,8 @@ def confusion_matrix(spark, sf):
 def train_logistic_regression(spark, sf):
     train = _train(spark, sf)
     vocabulary = durable(models.fit_vocabulary(train, o.TOP_TERMS))
-    return models.train_logistic_regression(train, vocabulary, o.TOP_TERMS)
+    vectors = features.document_vectors(train, vocabulary, o.TOP_TERMS)
+    return models.train_logistic_regression(vectors, vocabulary)
 
 
 @query("model_selection")

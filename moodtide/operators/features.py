@@ -77,22 +77,50 @@ def tfidf_weights(
 ) -> DataFrame:
     """(kept columns, term, weight): sublinear tf times idf, each document of unit length.
 
-    One shuffle by document id; a document has at most one row per vocabulary term.
+    One shuffle by document; a document has at most one row per vocabulary term. The kept columns
+    together identify a document.
     """
     weighted = attach_vocabulary(terms, vocabulary.select("term", "idf"), size).select(
         *keep, "term", (_sublinear(F.col("tf")) * F.col("idf")).alias("w")
     )
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(keep[0])))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keep)))
     return weighted.select(*keep, "term", (F.col("w") / length).alias("weight"))
 
 
+def index_vocabulary(vocabulary: DataFrame) -> DataFrame:
+    """Adds ``idx``, the place of each term in alphabetical order. Runs over the capped vocabulary."""
+    place = F.row_number().over(Window.partitionBy().orderBy("term")) - 1
+    return vocabulary.select("term", "idf", place.alias("idx"))
+
+
+def document_vectors(
+    docs: DataFrame, indexed: DataFrame, size: int, text: str = "cleaned_text",
+    keep: tuple[str, ...] = ("id", "label"),
+) -> DataFrame:
+    """(kept columns, entries): each document's unit-length weights as (idx, weight) by index.
+
+    Gathering the entries and their length is one aggregate, hence one shuffle. Documents without
+    a known term stay, with no entries. The kept columns together identify a document.
+    """
+    terms = _exploded(docs, text, keep, F.explode_outer)
+    known = attach_vocabulary(terms, indexed, size, "left")
+    weight = _sublinear(F.col("tf")) * F.col("idf")
+    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", F.col("w").alias("weight")))
+    gathered = known.select(*keep, "idx", weight.alias("w")).groupBy(*keep).agg(
+        F.sort_array(F.collect_list(entry)).alias("raw"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length")
+    )
+    unit = F.transform("raw", lambda e: F.struct(e["idx"].alias("idx"), (e["weight"] / F.col("length")).alias("weight")))
+    return gathered.select(*keep, unit.alias("entries"))
+
+
 def score_documents(
     docs: DataFrame, model: DataFrame, size: int, text: str = "cleaned_text", keep: tuple[str, ...] = ("id",)
 ) -> DataFrame:
     """(kept columns, margin): the linear model's sum over the unit-length weights, without intercept.
 
     Terms meet the broadcast model where they are, and each document is reduced to two sums
-    before the only shuffle. Documents without a known term stay, with margin 0.
+    before the only shuffle. Documents without a known term stay, with margin 0. The kept columns
+    together identify a document.
     """
     terms = _exploded(docs, text, keep, F.explode_outer)
     known = attach_vocabulary(terms, model.select("term", "idf", "coefficient"), size, "left")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodtide.operators.features import (
-    MAX_FEATURES, attach_vocabulary, document_frequency, score_documents, term_counts, tfidf_weights, vocabulary_topn,
+    MAX_FEATURES, document_frequency, index_vocabulary, score_documents, term_counts, vocabulary_topn,
 )
 from moodtide.operators.tagging import label_to_sentiment
 from moodtide.session import durable
@@ -100,30 +100,26 @@ def stratified_split(
 
 
 def fit_vocabulary(train: DataFrame, max_features: int = MAX_FEATURES, key: str = "id") -> DataFrame:
+    """The indexed vocabulary of the training rows."""
     terms = term_counts(train, keep=(key,))
-    return vocabulary_topn(document_frequency(terms, train), max_features)
+    return index_vocabulary(vocabulary_topn(document_frequency(terms, train), max_features))
 
 
-def train_naive_bayes(
-    train: DataFrame, vocabulary: DataFrame, max_features: int = MAX_FEATURES, alpha: float = NB_ALPHA,
-    key: str = "id",
-) -> DataFrame:
+def train_naive_bayes(vectors: DataFrame, indexed: DataFrame, alpha: float = NB_ALPHA) -> DataFrame:
     """Per term the smoothed log probabilities of both classes; pure aggregation."""
-    weights = tfidf_weights(
-        term_counts(train, keep=(key, "label")), vocabulary, max_features, keep=(key, "label")
-    )
-    mass = weights.groupBy("term").agg(
-        *[F.coalesce(F.sum(F.when(F.col("label") == c, F.col("weight"))), F.lit(0.0)).alias(f"mass_{c}") for c in (0, 1)]
+    entries = vectors.select("label", F.inline("entries"))
+    of_class = {c: F.sum(F.when(F.col("label") == c, F.col("weight"))).alias(f"sum_{c}") for c in (0, 1)}
+    sums = entries.groupBy("idx").agg(*of_class.values())
+    terms = indexed.join(sums, "idx", "left").select(
+        "term", "idf", *[F.coalesce(F.col(f"sum_{c}"), F.lit(0.0)).alias(f"sum_{c}") for c in (0, 1)]
     )
-    every_term = Window.partitionBy()  # at most max_features rows
+    every_term = Window.partitionBy()  # one row per vocabulary term
+    size = F.count(F.lit(1)).over(every_term)
     log_prob = [
-        F.log(
-            (F.coalesce(F.col(f"mass_{c}"), F.lit(0.0)) + alpha)
-            / (F.sum(F.coalesce(F.col(f"mass_{c}"), F.lit(0.0))).over(every_term) + alpha * F.count(F.lit(1)).over(every_term))
-        ).alias(f"log_prob_{c}")
+        F.log((F.col(f"sum_{c}") + alpha) / (F.sum(f"sum_{c}").over(every_term) + alpha * size)).alias(f"log_prob_{c}")
         for c in (0, 1)
     ]
-    return vocabulary.select("term", "idf").join(mass, "term", "left").select("term", "idf", *log_prob)
+    return terms.select("term", "idf", *log_prob)
 
 
 def class_log_prior(train: DataFrame) -> DataFrame:
@@ -153,44 +149,24 @@ def _sparse(size, entries):
 
 
 def train_logistic_regression(
-    train: DataFrame, vocabulary: DataFrame, max_features: int = MAX_FEATURES, c: float = LR_C,
-    max_iter: int = LR_MAX_ITER, key: str = "id",
+    vectors: DataFrame, indexed: DataFrame, c: float = LR_C, max_iter: int = LR_MAX_ITER
 ) -> DataFrame:
-    """L2-regularised logistic regression over the TF-IDF weights, as a linear model table.
+    """L2-regularised logistic regression over the document vectors, as a linear model table.
 
     Spark averages the loss where the penalty is stated against its sum, hence 1 / (C * n).
-    Index and coefficients pass the driver; both are bounded by the vocabulary cap.
+    The coefficients pass the driver; the vocabulary cap bounds them.
     """
-    indexed = durable(
-        vocabulary.select("term", "idf").withColumn(
-            "idx", F.row_number().over(Window.partitionBy().orderBy("term")) - 1
-        )
-    )
     size = indexed.count()
-    weights = tfidf_weights(
-        term_counts(train, keep=(key, "label")), indexed, max_features, keep=(key, "label")
-    )
-    entries = F.array_sort(F.collect_list(F.struct("idx", "weight")))
-    per_doc = (
-        attach_vocabulary(weights, indexed.select("term", "idx"), max_features)
-        .groupBy(key, "label").agg(entries.alias("entries"))
-    )
-    all_docs = train.select(key, "label").join(per_doc.drop("label"), key, "left")
-    no_terms = F.array().cast("array<struct<idx:int,weight:double>>")
-    vectors = durable(
-        all_docs.select(
-            F.col("label").cast("double").alias("label"),
-            _sparse(F.lit(size), F.coalesce(F.col("entries"), no_terms)).alias("features"),
-        )
+    features = durable(
+        vectors.select(F.col("label").cast("double").alias("label"), _sparse(F.lit(size), "entries").alias("features"))
     )
-    n = vectors.count()
     fitted = LogisticRegression(
-        regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter
-    ).fit(vectors)
-    spark = train.sparkSession
+        regParam=1.0 / (c * features.count()), elasticNetParam=0.0, standardization=False, maxIter=max_iter
+    ).fit(features)
+    spark = vectors.sparkSession
     values = [(i, float(v)) for i, v in enumerate(fitted.coefficients.toArray())]
     coefficients = spark.createDataFrame(values, "idx int, coefficient double")
-    terms = indexed.join(F.broadcast(coefficients), "idx").select(*MODEL_COLUMNS)
+    terms = indexed.join(coefficients, "idx").select(*MODEL_COLUMNS)
     intercept = spark.createDataFrame(
         [(None, None, float(fitted.intercept))], "term string, idf double, coefficient double"
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.operators.features import MAX_FEATURES
+from moodtide.operators.features import MAX_FEATURES, document_vectors
 from moodtide.operators.models import (
     apply_split, class_log_prior, fit_vocabulary, model_selection, naive_bayes_model, predict_sentiment,
     split_thresholds, train_logistic_regression, train_naive_bayes,
@@ -26,16 +26,16 @@ class Trained:
 def fit_both(labeled: DataFrame, max_features: int = MAX_FEATURES) -> Trained:
     """Split, fit both models on the training part and compare them on the rest.
 
-    Cleaned rows, split thresholds and vocabulary are written once: both fits read them several
-    times, and the thresholds need only two of the columns.
+    Cleaned rows, split thresholds, vocabulary and document vectors are written once: both fits
+    read them several times, and the thresholds need only two of the columns.
     """
     rows = durable(labeled)
     split = apply_split(rows, durable(split_thresholds(rows)))
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     vocabulary = durable(fit_vocabulary(train, max_features))
-    log_probs = train_naive_bayes(train, vocabulary, max_features)
-    bayes = durable(naive_bayes_model(log_probs, class_log_prior(train)))
-    logistic = durable(train_logistic_regression(train, vocabulary, max_features))
+    vectors = durable(document_vectors(train, vocabulary, max_features))
+    bayes = durable(naive_bayes_model(train_naive_bayes(vectors, vocabulary), class_log_prior(train)))
+    logistic = durable(train_logistic_regression(vectors, vocabulary))
     scored = {
         name: predict_sentiment(test, model, max_features, keep=("label",))
         for name, model in (("logistic_regression", logistic), ("naive_bayes", bayes))

@@ -16,19 +16,20 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one only where none is named."""
+    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="moodtide-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder, never reused, so no run reads another's files."""
-    return f"{shared_dir(spark)}/moodtide/{label}-{uuid.uuid4().hex}"
+    """A fresh path for this application below the shared folder; no run reads another's files."""
+    return f"{shared_dir(spark)}/moodtide/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:

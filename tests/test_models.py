@@ -99,6 +99,15 @@ def test_models_learn_and_store(spark, labeled, tmp_path):
         assert coefficient["good"] > 0 > coefficient["awful"]
 
 
+def test_vectors_tell_rows_of_one_key_apart(spark):
+    """One text labelled both ways is two documents."""
+    docs = spark.createDataFrame([("1", 0, "aa bb aa"), ("1", 1, "aa bb aa"), ("2", 1, "zz")], "id string, label int, cleaned_text string")
+    vocabulary = spark.createDataFrame([("aa", 1.0, 0), ("bb", 1.0, 1)], "term string, idf double, idx int")
+    rows = features.document_vectors(docs, vocabulary, 2).orderBy("id", "label").collect()
+    lengths = [sum(e["weight"] ** 2 for e in r["entries"]) for r in rows]
+    assert lengths == [pytest.approx(1.0), pytest.approx(1.0), 0]
+
+
 def test_unknown_words_still_get_a_prediction(spark):
     model = spark.createDataFrame([("good", 1.0, 2.0), (None, None, -0.5)], "term string, idf double, coefficient double")
     docs = spark.createDataFrame([("1", "good good"), ("2", "zz yy"), ("3", "a"), ("4", "")], "id string, cleaned_text string")
@@ -123,7 +132,9 @@ def test_kept_columns_ride_along(spark):
 def test_logistic_regression_minimises_its_objective(spark, labeled):
     """Moving any coefficient of the fitted model must not lower the stated objective."""
     vocabulary = models.fit_vocabulary(labeled, 6)
-    model = {r["term"]: r["coefficient"] for r in models.train_logistic_regression(labeled, vocabulary, 6).collect()}
+    vectors = features.document_vectors(labeled, vocabulary, 6)
+    assert vectors.count() == labeled.count()
+    model = {r["term"]: r["coefficient"] for r in models.train_logistic_regression(vectors, vocabulary).collect()}
     weights = features.tfidf_weights(features.term_counts(labeled), vocabulary, 6).collect()
     docs = {i: ({}, 1 if label else -1) for i, label, _ in corpus()}
     for r in weights:
