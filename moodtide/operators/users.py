@@ -14,6 +14,7 @@ from moodtide.config import Study, topic_column
 from moodtide.functions.numeric import coerce_flag, coerce_label, guarded_correlation, numeric_column
 from moodtide.functions.text import normalize_author
 from moodtide.operators.guards import require_columns
+from moodtide.session import durable
 
 SIDES = ("prob_positive", "prob_negative")
 
@@ -47,19 +48,19 @@ def semi_join_eligible_authors(posts: DataFrame, min_posts: int, row_key: str =
 
     Authors holding more than a thousandth of all posts (so at most a thousand of them) are
     broadcast and their posts join on a salted key, each salt repeated once on the author side;
-    all other keys are small enough for a plain shuffled semi join. One join does both.
+    all other keys are small enough for a plain shuffled semi join. One join does both. The counts
+    are written once, as three places read them.
     """
-    counts = author_post_counts(posts)
+    counts = durable(author_post_counts(posts))
     total = counts.agg(F.sum("total_posts_by_user").alias("n")).scalar()
-    hot = counts.filter(F.col("total_posts_by_user") > total * _HOT_SHARE).select(
-        "author_norm", F.lit(True).alias("_hot")
-    )
+    is_hot = F.col("total_posts_by_user") > total * _HOT_SHARE
+    hot = counts.filter(is_hot).select("author_norm", F.lit(True).alias("_hot"))
     spread = posts.join(F.broadcast(hot), "author_norm", "left").withColumn(
         "_salt",
         F.when(F.col("_hot"), F.pmod(F.xxhash64(row_key), F.lit(_SALTS)).cast("int")).otherwise(F.lit(0)),
     )
     eligible = counts.filter(F.col("total_posts_by_user") >= min_posts)
-    last = F.when(F.col("total_posts_by_user") > total * _HOT_SHARE, F.lit(_SALTS - 1)).otherwise(F.lit(0))
+    last = F.when(is_hot, F.lit(_SALTS - 1)).otherwise(F.lit(0))
     salted = eligible.select("author_norm", F.explode(F.sequence(F.lit(0), last)).alias("_salt"))
     return spread.join(salted, ["author_norm", "_salt"], "left_semi").select(*posts.columns)
 
