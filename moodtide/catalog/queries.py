@@ -828,7 +828,8 @@ def _all_terms(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cleaned documents (written once, as two passes read them), term counts and vocabulary."""
     docs = durable(fx.cleaned_docs(spark, sf).select("id", "cleaned_text"))
     terms = features.term_counts(docs)
-    return docs, terms, features.vocabulary_topn(features.document_frequency(terms, docs), o.TOP_TERMS)
+    frequencies = durable(features.document_frequency(terms, docs))
+    return docs, terms, features.vocabulary_topn(frequencies, o.TOP_TERMS)
 
 
 @query(

@@ -62,8 +62,18 @@ def document_frequency(terms: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def vocabulary_topn(frequencies: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The most frequent terms, ties alphabetical."""
-    return frequencies.orderBy(F.desc("corpus_freq"), "term").limit(max_features)
+    """The most frequent terms, ties alphabetical.
+
+    A limit keeps its full number of rows from every task until the last one merges them. So the
+    terms are counted per power of two of their frequency first, and only those at or above the
+    level where the limit falls are ordered. Reads ``frequencies`` twice: pass a written table.
+    """
+    level = F.floor(F.log2("corpus_freq")).cast("int")
+    levels = frequencies.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    at_least = F.sum("n").over(Window.partitionBy().orderBy(F.desc("level")))
+    lowest = levels.withColumn("at_least", at_least).filter(F.col("at_least") >= max_features)
+    needed = lowest.agg(F.coalesce(F.max("level"), F.lit(-1))).scalar()
+    return frequencies.filter(level >= needed).orderBy(F.desc("corpus_freq"), "term").limit(max_features)
 
 
 def attach_vocabulary(terms: DataFrame, vocabulary: DataFrame, size: int, how: str = "inner") -> DataFrame:

@@ -249,4 +249,4 @@ def hypothesis_readiness(tagged: DataFrame, rows: DataFrame, study: Study) -> Da
             F.col("users") > 0, "partially_testable", not_yet,
             F.format_string("eligible users with >=3 posts=%d", "users")),
     )))
-    return from_posts.unionByName(from_users)
+    return from_posts.unionByName(from_users).orderBy("hypothesis")

@@ -101,8 +101,8 @@ def stratified_split(
 
 def fit_vocabulary(train: DataFrame, max_features: int = MAX_FEATURES, key: str = "id") -> DataFrame:
     """The indexed vocabulary of the training rows."""
-    terms = term_counts(train, keep=(key,))
-    return index_vocabulary(vocabulary_topn(document_frequency(terms, train), max_features))
+    frequencies = durable(document_frequency(term_counts(train, keep=(key,)), train))
+    return index_vocabulary(vocabulary_topn(frequencies, max_features))
 
 
 def train_naive_bayes(vectors: DataFrame, indexed: DataFrame, alpha: float = NB_ALPHA) -> DataFrame:
@@ -174,14 +174,18 @@ def train_logistic_regression(
 
 
 def predict_sentiment(
-    docs: DataFrame, model: DataFrame, size: int = MAX_FEATURES, key: str = "id", text: str = "cleaned_text",
+    docs: DataFrame, model: DataFrame, size: int | None = None, key: str = "id", text: str = "cleaned_text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Key, kept columns, label, sentiment and both probabilities for every document.
 
+    ``size`` is a known bound on the model's rows; without one they are counted, since the model is
+    broadcast only up to a limit.
+
     Narrow columns named in ``keep`` ride along through the one small shuffle, so tagging before
     scoring and keeping the flags avoids moving any text. A tie is class 0.
     """
+    size = model.count() if size is None else size
     scores = score_documents(docs, model.filter(F.col("term").isNotNull()), size, text, (key, *keep))
     intercept = model.filter(F.col("term").isNull()).select("coefficient").scalar()
     margin = F.col("margin") + intercept

@@ -1,4 +1,4 @@
-"""All tables of the study from one pass over the tagged posts."""
+"""All tables of the study from a few passes over the tagged posts."""
 
 from __future__ import annotations
 
@@ -17,8 +17,9 @@ from moodtide.sources.csv import write_csv
 def report_tables(tagged: DataFrame, study: Study) -> dict[str, DataFrame]:
     """Every table, keyed by its name.
 
-    Posts are read twice in all: once into the cube of additive measures, once into the row per
-    author. Both are written to the checkpoint folder and every table is derived from them.
+    Posts are read three times in all: into the cube of additive measures, into the row per author,
+    and to count raw author names. Cube and author rows are written to the checkpoint folder, and
+    all other tables are derived from them.
     """
     cube = durable(report_cube(measured(tagged, study), study))
     authors = durable(u.author_topics(u.authored(tagged, study), study))

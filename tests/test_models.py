@@ -57,6 +57,14 @@ def test_weights_against_direct_computation(spark, labeled):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+@pytest.mark.parametrize("limit", [1, 3, 7, 40, 100])
+def test_vocabulary_is_the_exact_top(spark, limit):
+    freq = [(f"t{i:02}", 1, f) for i, f in enumerate([1] * 20 + [2] * 10 + [3, 4, 4, 7, 8, 8, 9, 16, 1000, 2**40])]
+    df = spark.createDataFrame(freq, "term string, doc_freq long, corpus_freq long").repartition(4)
+    want = [t for t, _, _ in sorted(freq, key=lambda r: (-r[2], r[0]))[:limit]]
+    assert [r["term"] for r in features.vocabulary_topn(df, limit).collect()] == want
+
+
 @pytest.mark.parametrize("sizes", [(100, 100), (3, 998), (7, 6), (1, 0), (50, 13)])
 def test_split_is_exact_and_repeatable(spark, sizes):
     rows = [(f"{label}-{i}", label) for label, n in enumerate(sizes) for i in range(n)]
