@@ -260,11 +260,14 @@ def classification_metrics(scored: DataFrame) -> DataFrame:
 
 
 def model_selection(scored_by_model: dict[str, DataFrame]) -> DataFrame:
-    """Accuracy and positive-class F1 per model, and which one has the best accuracy."""
+    """Accuracy and positive-class F1 per model, and which one has the best accuracy; in a tie the
+    model named first, the default scorer."""
     rows = None
-    for name, scored in scored_by_model.items():
+    for place, (name, scored) in enumerate(scored_by_model.items()):
         metrics = classification_metrics(scored).filter(F.col("scope") == "positive")
-        one = metrics.select(F.lit(name).alias("model"), "accuracy", F.col("f1").alias("f1_positive"))
+        one = metrics.select(
+            F.lit(name).alias("model"), "accuracy", F.col("f1").alias("f1_positive"), F.lit(-place).alias("_first")
+        )
         rows = one if rows is None else rows.unionByName(one)
-    best = F.max_by("model", F.struct(F.col("accuracy"), F.col("model"))).over(Window.partitionBy())
+    best = F.max_by("model", F.struct("accuracy", "_first")).over(Window.partitionBy())
     return rows.select("model", "accuracy", "f1_positive", (F.col("model") == best).alias("selected"))

@@ -166,3 +166,9 @@ def test_metrics_by_hand(spark):
     assert m["positive"]["precision"] == pytest.approx(9 / 11) and m["positive"]["recall"] == pytest.approx(9 / 13)
     assert m["negative"]["f1"] == pytest.approx(10 / 16) and m["macro avg"]["accuracy"] == pytest.approx(0.7)
     assert m["weighted avg"]["support"] == 20
+
+
+def test_a_tie_goes_to_the_default_model(spark):
+    scored = spark.createDataFrame([(0, 0), (1, 1), (1, 0)], "label int, predicted_label int")
+    rows = models.model_selection({"logistic_regression": scored, "naive_bayes": scored}).collect()
+    assert [r["model"] for r in rows if r["selected"]] == ["logistic_regression"]
