@@ -9,7 +9,7 @@ from moodtide.config import Period, Study, Topic
 from moodtide.operators.measures import measured
 from moodtide.operators.posts import keep_with_cleaned_text, with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns, label_to_sentiment
-from moodtide.session import prepare_session, scratch_path, spread_small_scan
+from moodtide.session import prepare_session, scratch_path
 
 STUDY = Study(
     groups=tuple(f"src{i}" for i in range(12)),
@@ -70,8 +70,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The named columns of the documents, spread over the cores for the text work."""
-    return spread_small_scan(table(spark, sf_dir, "documents").select(*columns))
+    """The named columns of the documents."""
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

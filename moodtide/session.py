@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,20 +15,21 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        named = tempfile.mkdtemp(prefix="moodtide-")
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the session's warehouse.
+
+    Both are named by the cluster and seen by every executor; the rule is the same in every mode.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/moodtide/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for this application below the shared folder; no run reads another's files."""
-    return f"{shared_dir(spark)}/moodtide/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -43,12 +43,23 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it once the results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme: one without a scheme belongs to the cluster's default file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString()
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows of a scan out over ``partitions`` tasks; as scanned if that is None.
 
-    Text work is far more expensive than moving the text once, and a compressed file or a file of
-    one row group is a single split. A scan that already has a split per core, as any large one
-    does, is returned as it is, without a shuffle.
+    For text work over files with fewer splits than the cluster has cores, such as one compressed
+    file. Ask for it where the files are known; it moves the rows once.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if partitions is None else df.repartition(partitions)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,7 +17,8 @@ def make_session() -> SparkSession:
         SparkSession.builder.master("local[8]").appName("moodtide-tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="moodtide-tests-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

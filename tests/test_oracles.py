@@ -6,8 +6,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from moodtide.catalog.queries import ORACLES, QUERIES
 # Checked by properties in test_models.py instead.
 WITHOUT_SQL = {"train_logistic_regression", "model_selection"}
 
