@@ -1,9 +1 @@
 """Sentiment and topic-trend analytics over timestamped posts, as Spark DataFrame operators."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# The few Python functions that run in tasks travel with the job, so executors need no copy of
-# the package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

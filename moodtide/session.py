@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Applications whose Python workers have this package.
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that the few Python functions that
+    run in tasks can be imported there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root, content = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, f"{root.name}/{file.relative_to(root)}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_application_dir(spark)}/{root.name}.zip")
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(content.getvalue()))
+    out.close()
+    context.addPyFile(target.toString())
+    _shipped.add(context.applicationId)
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the results depend on (calendar months are UTC months)."""
+    ship_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     return spark

@@ -13,6 +13,8 @@ import io
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from moodtide.session import ship_package
+
 # Fixed value: the largest window the dumps use.
 MAX_WINDOW = 2**31
 _BATCH_BYTES = 8 << 20
@@ -74,5 +76,6 @@ class ZstLines(DataSource):
 
 def scan_zst(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the ``.zst`` files at a path or URI, whatever window they were written with."""
+    ship_package(spark)
     spark.dataSource.register(ZstLines)
     return spark.read.format("zst_lines").load(path)
