@@ -33,9 +33,9 @@ def n_words(text: Column | str) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def id_remainder(doc_id: Column | str, divisor: int) -> Column:
+def id_remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("binary")) % divisor
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:

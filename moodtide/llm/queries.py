@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import bpe, exact_dedup, mixing, quality, secret_scan, token_files, url_filter
-from moodtide.llm.common import table
+from moodtide.llm import bpe, exact_dedup, language_id, mixing, quality, secret_scan, token_files, toxicity, url_filter
+from moodtide.llm.common import id_remainder, table
 from moodtide.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,26 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     return token_files.read_token_files(spark, path)
+
+
+def is_held_out(divisor: int, remainder: int) -> Column:
+    return id_remainder("doc_id", divisor) == remainder
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~is_held_out(4, 2)))
+    return language_id.predict(docs, model).withColumn("held_out", is_held_out(4, 2))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+    """The model learned from the labels that are not held out."""
+    labels = table(spark, sf_dir, "labels").filter(~is_held_out(5, 0))
+    return toxicity.train(table(spark, sf_dir, "documents"), labels)
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.withColumn("held_out", is_held_out(5, 0))
