@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import bpe, exact_dedup, language_id, mixing, quality, secret_scan, token_files, toxicity, url_filter
+from moodtide.llm import bpe, exact_dedup, language_id, mixing, near_dedup, quality, secret_scan, token_files, toxicity, url_filter
 from moodtide.llm.common import id_remainder, table
 from moodtide.session import scratch_path
 
@@ -193,3 +193,9 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     return scored.withColumn("held_out", is_held_out(5, 0))
+
+
+@query("op1_near_dedup")
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of two words, as the query's contract has it."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
