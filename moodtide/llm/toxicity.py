@@ -135,9 +135,10 @@ def with_silence(votes: np.ndarray) -> np.ndarray:
 def fit_label_model(votes: np.ndarray, start: np.ndarray, share: np.ndarray, rounds: int = 10) -> LabelModel:
     """Label model of documents x voters votes.
 
-    ``start`` has first guesses of the posteriors (the labels that the lexicon was drawn from), which also
-    give the share of toxic documents; ``share`` is a weight for each document. Voters that still vote
-    together given the label repeat each other: a voter's worth is one over the sum of its squared
+    ``start`` has the labels that the lexicon was drawn from. They are the first guesses of the posteriors,
+    give the share of toxic documents, and stay half of the evidence about each voter, so that the rounds
+    cannot drift to a split of their own. ``share`` is a weight for each document. Voters that still fire
+    together given the label repeat each other: a voter's worth is one over the sum of its squared positive
     correlations, itself included.
     """
     weight, posterior = share / share.sum(), start.astype(float)
@@ -145,7 +146,7 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, share: np.ndarray, rou
     worth, fires = np.ones(voters), np.full((voters, 2), 0.5)
     prior = float(np.clip((weight * posterior).sum(), 1e-4, 1 - 1e-4))
     for _ in range(rounds):
-        toxic = weight * posterior
+        toxic = weight * (posterior + start) / 2
         clean = weight - toxic
         small = 1.0 / max(n, 1)
         fires = np.stack([(side @ votes + small * 0.5) / (side.sum() + small) for side in (clean, toxic)], axis=1)
@@ -153,7 +154,8 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, share: np.ndarray, rou
         rest = votes - (clean[:, None] * fires[:, 0] + toxic[:, None] * fires[:, 1]) / np.maximum(weight, 1e-12)[:, None]
         covariance = (rest * weight[:, None]).T @ rest
         spread = np.sqrt(np.maximum(np.diag(covariance), 1e-12))
-        worth = 1.0 / np.maximum(((covariance / np.outer(spread, spread)) ** 2).sum(axis=1), 1.0)
+        alike = np.maximum(covariance / np.outer(spread, spread), 0.0)
+        worth = 1.0 / np.maximum((alike**2).sum(axis=1), 1.0)
         posterior = LabelModel(prior, fires, worth).posterior(votes)
     return LabelModel(prior, fires, worth)
 
