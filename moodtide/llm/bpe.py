@@ -9,10 +9,9 @@ prefix that many words share is computed once, and a word's tokens are read off
 from __future__ import annotations
 
 import json
-import os
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,10 @@ from moodtide.llm.common import map_batches, slices, texts_of
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Words whose encodings a task remembers; when there are more, it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 _NEVER = 1 << 40
+#: Texts whose words form one trie.
+_TEXTS = 1024
 
 
 def default_vocabulary() -> str:
@@ -55,7 +56,8 @@ class Vocabulary:
         model = content["model"]
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.ids = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in self.special}
-        self.longest = max(map(len, self.ids))
+        #: everything a token begins with
+        self.beginnings = {t[:n] for t in self.ids for n in range(len(t) + 1)}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         encoded = [[bytes(letters[c] for c in part) for part in pair] for pair in pairs]
         #: (left token, right token) -> rank of their merge
@@ -83,19 +85,41 @@ class Vocabulary:
 
 
 class TrieEncoder:
-    """Encodes words with one vocabulary; remembers words and valid pairs."""
+    """Encodes words with one vocabulary; remembers words, valid pairs, and which tokens can end where."""
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         self.vocabulary, self.remembered = vocabulary, remembered
-        self.words: dict[str, list[int]] = {}
+        self.special = {s: array("i", [i]).tobytes() for s, i in vocabulary.special.items()}
+        self.words: dict[str, bytes] = dict(self.special)
+        self._older: dict[str, bytes] = {}
         self.lengths = list(map(len, vocabulary.bytes_of))
         self._pairs: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
         self._edges: tuple[dict, dict] = ({}, {})
+        # A tail is the longest end of a path that a token begins with; it is all that a longer path's tail
+        # and the tokens that end there depend on.
+        self._tails: list[bytes] = [b""]
+        self._tail_numbers: dict[bytes, int] = {b"": 0}
+        self._next_tail: dict[int, int] = {}
+        self._ending: list[list[tuple[int, int]]] = [[]]
         specials = sorted(vocabulary.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self._split = regex.compile(PATTERN).findall
 
+    def _step(self, tail: int, byte: int) -> int:
+        """The tail of a path with this tail when a byte is added."""
+        longer = self._tails[tail] + bytes((byte,))
+        while longer not in self.vocabulary.beginnings:
+            longer = longer[1:]
+        number = self._tail_numbers.get(longer)
+        if number is None:
+            number = self._tail_numbers[longer] = len(self._tails)
+            self._tails.append(longer)
+            found = ((self.vocabulary.ids.get(longer[i:]), len(longer) - i) for i in range(len(longer)))
+            self._ending.append([(t, n) for t, n in found if t is not None and self._is_whole(t)])
+        self._next_tail[tail << 8 | byte] = number
+        return number
+
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         known = self._edges[side]
         if token not in known:
@@ -122,53 +146,80 @@ class TrieEncoder:
             )
         return self._whole[token]
 
-    def _follows(self, left: int, right: int) -> bool:
-        key = left << 20 | right
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) > 4 * self.remembered:
-                self._pairs.clear()
-            known = self._pairs[key] = not self._crosses(left, right)
-        return known
-
     def learn(self, words: Iterable[str]) -> None:
         """Encode words: their trie, depth first. Sorted words are that order; ``last`` is the stack of states
         on the current path, and what a word shares with the one before it is not computed again."""
-        ids, longest, lengths = self.vocabulary.ids, self.vocabulary.longest, self.lengths
-        last: list[int] = [-1]
-        path = b""
-        for word, text in sorted((w.encode(), w) for w in words):
-            shared = len(os.path.commonprefix((path, word)))
-            del last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(word[start:end])
-                    if token is not None and self._is_whole(token) and (start == 0 or self._follows(last[start], token)):
-                        last.append(token)
+        lengths, pairs, ending, step, known = self.lengths, self._pairs, self._ending, self._next_tail, self.words
+        if len(pairs) > 4 * self.remembered:
+            pairs.clear()
+        last, tails = [-1], [0]
+        ordered = sorted([(w.encode(), w) for w in words])
+        for (word, text), shared in zip(ordered, shared_lengths([w for w, _ in ordered])):
+            del last[shared + 1 :], tails[shared + 1 :]
+            tail = tails[-1]
+            for end in range(shared, len(word)):
+                key = tail << 8 | word[end]
+                try:
+                    tail = step[key]
+                except KeyError:
+                    tail = self._step(tail, word[end])
+                tails.append(tail)
+                for token, size in ending[tail]:  # the longest first
+                    if size > end:
                         break
-            path, at, tokens = word, len(word), []
+                    key = last[end + 1 - size] << 20 | token
+                    valid = pairs.get(key)
+                    if valid is None:
+                        valid = pairs[key] = not self._crosses(last[end + 1 - size], token)
+                    if valid:
+                        break
+                last.append(token)
+            at, tokens = len(word), []
             while at:
-                tokens.append(last[at])
-                at -= lengths[last[at]]
+                token = last[at]
+                tokens.append(token)
+                at -= lengths[token]
             tokens.reverse()
-            self.words[text] = tokens
+            known[text] = array("i", tokens).tobytes()
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each text; special tokens written in a text become their ids."""
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text, as 32-bit integers; special tokens written in a text become their ids."""
         split, special = self._split, self._special
         words = []
         for text in texts:
-            if special is not None and special.search(text):
+            if any(s in text for s in self.special):
                 words.append([w for i, part in enumerate(special.split(text)) for w in ([part] if i % 2 else split(part))])
             else:
                 words.append(split(text))
-        if len(self.words) > self.remembered:
-            self.words.clear()
+        if len(self.words) > self.remembered // 2:  # frequent words come back from the older half
+            self.words, self._older = dict(self.special), self.words
+        wanted, older = set().union(*words).difference(self.words), self._older
+        if older:
+            again = wanted.intersection(older)
+            self.words.update((w, older[w]) for w in again)
+            wanted -= again
+        self.learn(wanted)
         known = self.words
-        if not known:
-            known.update({s: [i] for s, i in self.vocabulary.special.items()})
-        self.learn(set(chain.from_iterable(words)).difference(known))
-        return [list(chain.from_iterable(map(known.__getitem__, ws))) for ws in words]
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+
+
+_HEAD = 32
+
+
+def shared_lengths(words: list[bytes]) -> list[int]:
+    """How many bytes each sorted word shares with the one before it."""
+    if not words:
+        return []
+    heads = np.array([w[:_HEAD] for w in words], f"S{_HEAD}").view(np.uint8).reshape(-1, _HEAD)
+    equal = np.hstack([heads[1:] == heads[:-1], np.zeros((len(words) - 1, 1), bool)])
+    lengths = np.array(list(map(len, words)))
+    shared = np.minimum(equal.argmin(axis=1), np.minimum(lengths[1:], lengths[:-1]))
+    for i in np.flatnonzero(shared == _HEAD):
+        at, a, b = _HEAD, words[i], words[i + 1]
+        while at < len(a) and at < len(b) and a[at] == b[at]:
+            at += 1
+        shared[i] = at
+    return [0, *shared.tolist()]
 
 
 @lru_cache(maxsize=2)
@@ -189,10 +240,10 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
-        for part in slices(batches):
+        for part in slices(batches, _TEXTS):
             found = tool.encode_batch(texts_of(part.column(0)))
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in found], dtype=np.int64))).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(found), np.int32, count=int(offsets[-1]))
+            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found], dtype=np.int64))).astype(np.int32)
+            flat = np.frombuffer(b"".join(found), np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*keep, "ids"])
 
@@ -222,9 +273,10 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
             lists = part.column(0)
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             joined = table.take(lists.flatten())
-            ends = np.concatenate(([0], np.cumsum(pc.binary_length(joined).to_numpy(zero_copy_only=False))))
-            data = b"".join(joined.to_pylist()) if len(joined) else b""
-            cuts = ends[np.concatenate(([0], np.cumsum(sizes)))]
+            _, offsets, values = joined.buffers()
+            ends = np.frombuffer(offsets, np.int64, len(joined) + 1, 8 * joined.offset)
+            data = values.to_pybytes() if values is not None else b""
+            cuts = ends[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))]
             texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
