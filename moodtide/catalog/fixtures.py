@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from moodtide.config import Period, Study, Topic
 from moodtide.operators.measures import measured
-from moodtide.operators.posts import keep_with_cleaned_text, with_cleaned_text
+from moodtide.operators.posts import build_final_text, keep_with_cleaned_text, with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns, label_to_sentiment
-from moodtide.session import prepare_session, scratch_path
+from moodtide.session import prepare_session, qualified, scratch_path
+from moodtide.sources.files import arrow_file_system
 
 STUDY = Study(
     groups=tuple(f"src{i}" for i in range(12)),
@@ -49,6 +50,8 @@ DIRTY_LINES = (
     '{"id": "d12", "subreddit": "src4", "created_utc": 852076800, "score": 5}',
     '{"id": "d13", "subreddit": "", "created_utc": 852076800}',
     '{"id": "d14", "subreddit": "src5", "created_utc": 852076800} trailing',
+    '{"id": "d15", "subreddit": "src5", "created_utc": 852076800}{"id": "d16", "subreddit": "src5", "created_utc": 852076800}',
+    '{"a": 1},{"b": 2}',
 )
 
 # Text fragments on which naive cleaning goes wrong; one is appended to each document.
@@ -84,6 +87,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def final_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, id, subreddit, final_text) of the posts that have any text: title and body, normalised."""
+    docs = documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"), "subreddit", F.lit("").alias("author"),
+        F.lit(0.0).alias("created_utc"), "title", "body",
+    )
+    final = build_final_text(docs).select("id", "subreddit", "final_text")
+    return final.withColumn("doc_id", F.col("id").cast("bigint"))
+
+
 def _authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     number = F.col("o_custkey") % 97
@@ -162,11 +175,10 @@ def _probabilities() -> list[Column]:
 
 
 def tagged(spark: SparkSession, sf_dir: str, for_filter: bool = False) -> DataFrame:
-    """Topic-tagged posts. Text is cleaned and searched on the document side, before the joins,
-    so no text is ever shuffled."""
-    docs = documents(spark, sf_dir).select("doc_id", "subreddit", "body")
-    cleaned = with_cleaned_text(docs, "body")
-    flagged = add_topic_columns(cleaned, STUDY, for_filter=for_filter).drop("body", "cleaned_text")
+    """Topic-tagged posts. Title and body are joined, cleaned and searched on the document side, before the
+    joins, so no text is ever shuffled."""
+    cleaned = keep_with_cleaned_text(final_texts(spark, sf_dir), "final_text")
+    flagged = add_topic_columns(cleaned, STUDY, for_filter=for_filter).drop("id", "final_text", "cleaned_text")
     people = add_time_columns(with_people(spark, sf_dir, flagged), STUDY)
     return people.select("*", label_to_sentiment().alias("predicted_sentiment"), *_probabilities())
 
@@ -197,14 +209,15 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def write_zst_lines(lines: DataFrame, path: str, window_log: int = 28) -> None:
     """Write ``value`` as long-window ``.zst`` files, one per task."""
 
+    target = qualified(lines.sparkSession, path)
+
     def write(batches):
         import uuid
 
         import pyarrow as pa
         import zstandard
-        from pyarrow import fs
 
-        filesystem, root = fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+        filesystem, root = arrow_file_system(target)
         filesystem.create_dir(root, recursive=True)
         name = f"{root}/part-{uuid.uuid4().hex}.jsonl.zst"
         parameters = zstandard.ZstdCompressionParameters.from_level(3, window_log=window_log)

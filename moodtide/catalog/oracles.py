@@ -7,6 +7,7 @@ distinct counts, joins and windows are used here where the operators use conditi
 from __future__ import annotations
 
 from moodtide.catalog.fixtures import ADVERSARIAL, DIRTY_LINES, STUDY
+from moodtide.operators.features import MAX_FEATURES
 
 WS = (
     r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -92,8 +93,12 @@ _PERIOD = (
     "WHEN year(ts) >= 1999 THEN 'late' ELSE 'outside-study-range' END"
 )
 
+JOINED = "(CASE WHEN nt <> '' AND nb <> '' THEN nt || ' ' || nb ELSE nt || nb END)"
+
 TAGGED = f"""{POSTS},
-cleaned AS (SELECT *, {clean('body')} AS c, make_timestamp(created_utc * 1000000) AS ts FROM posts),
+parts AS (SELECT *, {norm_placeholder('title')} AS nt, {norm_placeholder('body')} AS nb FROM posts),
+whole AS (SELECT * EXCLUDE (nt, nb), {clean(JOINED)} AS c, make_timestamp(created_utc * 1000000) AS ts FROM parts),
+cleaned AS (SELECT * FROM whole WHERE c <> ''),
 flags AS (SELECT *, {', '.join(f'{_flag(k)} AS topic_{n}' for n, _, k in TOPICS)},
   {', '.join(f'{_matched(k)} AS matched_keywords_{n}' for n, _, k in TOPICS)},
   year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, strftime(ts, '%Y-%m') AS year_month,
@@ -199,7 +204,6 @@ def vocabulary(terms: str, docs: str, top: int) -> str:
 vocab AS (SELECT * FROM freq ORDER BY corpus_freq DESC, term LIMIT {top})"""
 
 
-TOP_TERMS = 2000
 WEIGHTS = f"""raw AS (SELECT x.id, x.term, (1.0 + ln(x.tf)) * vocab.idf AS w FROM terms x JOIN vocab USING (term)),
 weights AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM raw)"""
 
@@ -221,7 +225,7 @@ split AS (SELECT l.*, CASE WHEN row_number() OVER (PARTITION BY l.label ORDER BY
 train AS (SELECT * FROM split WHERE split = 'train'),
 train_words AS (SELECT id, unnest(string_split(c, ' ')) AS term FROM train),
 train_terms AS (SELECT id, term, count(*) AS tf FROM train_words WHERE length(term) >= 2 GROUP BY ALL),
-{vocabulary('train_terms', 'train', TOP_TERMS)},
+{vocabulary('train_terms', 'train', MAX_FEATURES)},
 train_raw AS (SELECT x.id, x.term, (1.0 + ln(x.tf)) * vocab.idf AS w FROM train_terms x JOIN vocab USING (term)),
 train_weights AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM train_raw),
 mass AS (SELECT vocab.term, any_value(vocab.idf) AS idf,
@@ -244,6 +248,21 @@ predicted AS (SELECT id, CAST(j1 > j0 AS INTEGER) AS predicted_label,
 test_scored AS (SELECT split.id, label, predicted_label FROM split JOIN predicted USING (id) WHERE split = 'test')"""
 
 
+# Documents, every tenth of them a second time under its id with its first line only: rows, not ids, are scored.
+REPEATED = f"""again AS (SELECT row_number() OVER () AS rid, id, c FROM (SELECT id, c FROM docs
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), {clean("split_part(text, chr(10), 1)")} FROM documents WHERE doc_id % 10 = 0)),
+again_words AS (SELECT rid, unnest(string_split(c, ' ')) AS term FROM again),
+again_terms AS (SELECT rid, term, count(*) AS tf FROM again_words WHERE length(term) >= 2 GROUP BY ALL),
+again_raw AS (SELECT rid, (1.0 + ln(tf)) * nb.idf AS w, log_prob_0, log_prob_1 FROM again_terms JOIN nb USING (term)),
+again_sum AS (SELECT rid, sum(w * log_prob_0) / sqrt(sum(w * w)) AS s0, sum(w * log_prob_1) / sqrt(sum(w * w)) AS s1
+  FROM again_raw GROUP BY rid),
+again_joint AS (SELECT again.id, p0 + coalesce(s0, 0) AS j0, p1 + coalesce(s1, 0) AS j1
+  FROM again CROSS JOIN prior LEFT JOIN again_sum USING (rid) WHERE again.c <> ''),
+again_predicted AS (SELECT id, CAST(j1 > j0 AS INTEGER) AS predicted_label,
+  CASE WHEN j1 > j0 THEN 'positive' ELSE 'negative' END AS predicted_sentiment,
+  1.0 / (1.0 + exp(j1 - j0)) AS prob_negative, 1.0 / (1.0 + exp(j0 - j1)) AS prob_positive FROM again_joint)"""
+
+
 def model_sql(body: str) -> str:
     return f"WITH {LABELED}\n{body}"
 

@@ -16,8 +16,9 @@ from moodtide.functions.topics import contains_phrase, prepare_keywords
 from moodtide.operators import features, guards, hypotheses, ingest, models, sentiment, tagging, trends, users
 from moodtide.operators import posts as post_ops
 from moodtide.operators.measures import measured, total, valid
+from moodtide.plans.report_plan import POST_COLUMNS
 from moodtide.plans.training_plan import fit_both
-from moodtide.session import durable
+from moodtide.session import durable, numbered
 from moodtide.sources import artifacts, text_lines, zst
 from moodtide.sources import csv as csv_io
 
@@ -50,10 +51,9 @@ def _standard_out() -> list:
 _ID_GROUP_TIME = "SELECT id, subreddit, author, created_utc::DOUBLE AS created_utc, md5(title) AS title_md5, md5(body) AS body_md5 FROM posts"
 
 
-def _written_json(spark, sf, by: str | None = None) -> str:
+def _written_json(spark, sf) -> str:
     path = fx.fresh(spark, "json")
-    writer = fx.posts(spark, sf).withColumn("grp", F.col("subreddit")).drop("doc_id", "predicted_label").write
-    (writer.partitionBy(by) if by else writer).json(path)
+    fx.posts(spark, sf).drop("doc_id", "predicted_label").write.json(path)
     return path
 
 
@@ -79,18 +79,25 @@ def scan_zst(spark, sf):
     columns = ["id", "subreddit", "author", "created_utc", "title", "body"]
     lines = fx.posts(spark, sf).select(F.to_json(F.struct(*columns)).alias("value"))
     fx.write_zst_lines(lines, path)
-    return _from_lines(zst.scan_zst(spark, path))
+    return _from_lines(zst.scan_zst(spark, path).select("value", *ingest.FILE_ORDER))
 
 
 @query(
     "scan_input_discovery",
-    "SELECT source AS folder, count(*) AS lines FROM documents GROUP BY source",
+    "SELECT DISTINCT source AS folder, 'json' AS suffix FROM documents WHERE source NOT LIKE '%1%' "
+    "UNION ALL SELECT DISTINCT 'packed', 'zst' FROM documents WHERE source LIKE '%1%'",
 )
 def scan_input_discovery(spark, sf):
-    root = _written_json(spark, sf, by="grp")
-    lines = text_lines.scan_lines(spark, root, recursive=True)
-    folder = F.regexp_extract("src_file", "grp=([^/]+)/", 1).alias("folder")
-    return lines.groupBy(folder).agg(F.count(F.lit(1)).alias("lines"))
+    """A tree of plain and compressed dumps with other files among them."""
+    root = fx.fresh(spark, "tree")
+    posts = fx.posts(spark, sf).withColumn("grp", F.col("subreddit")).drop("doc_id", "predicted_label")
+    packed = F.col("grp").contains("1")
+    posts.filter(~packed).write.partitionBy("grp").json(f"{root}/plain")
+    fx.write_zst_lines(posts.filter(packed).select(F.to_json(F.struct("id", "title", "body")).alias("value")), f"{root}/grp=packed")
+    posts.select("id", "grp").write.partitionBy("grp").csv(f"{root}/other")
+    found = text_lines.discover_inputs(spark, root).filter(F.col("length") > 0)
+    suffix = F.substring_index("path", ".", -1).alias("suffix")
+    return found.select(F.regexp_extract("path", "grp=([^/]+)/", 1).alias("folder"), suffix).distinct()
 
 
 @query(
@@ -182,8 +189,8 @@ def _train(spark, sf) -> DataFrame:
 
 def _bayes(train: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vocabulary and Naive Bayes log probabilities."""
-    vocabulary = durable(models.fit_vocabulary(train, o.TOP_TERMS))
-    vectors = features.document_vectors(train, vocabulary, o.TOP_TERMS)
+    vocabulary = durable(models.fit_vocabulary(train))
+    vectors = features.document_vectors(train, vocabulary)
     return vocabulary, models.train_naive_bayes(vectors, vocabulary)
 
 
@@ -217,20 +224,18 @@ def scan_model_artifacts(spark, sf):
     return rounded(_stored_model(spark, sf))
 
 
-_NA = "['', 'NA', 'n/a', 'None', 'none', '#N/A', 'nan', 'NAN', ' NA', '<NA>', 'x']"
+_PIECE = "upper(substr(text, 2, 2))"
 
 
 @query(
     "csv_null_literals",
-    f"""WITH x AS (SELECT doc_id, {_NA}[CAST(doc_id % 11 AS INTEGER) + 1] AS raw, source FROM documents)
-    SELECT doc_id, CASE WHEN raw NOT IN ('', 'NA', 'n/a', 'None', '#N/A', 'nan', '<NA>') THEN raw END AS raw, source FROM x""",
+    f"""SELECT doc_id, CASE WHEN {_PIECE} NOT IN ('', 'NA', 'n/a', 'None', '#N/A', 'nan', '<NA>') THEN {_PIECE} END AS piece,
+    source FROM documents""",
 )
 def csv_null_literals(spark, sf):
-    values = F.array(*[F.lit(v) for v in ("", "NA", "n/a", "None", "none", "#N/A", "nan", "NAN", " NA", "<NA>", "x")])
+    """Two letters of each text: among them is a spelling of a missing value."""
     docs = fx.table(spark, sf, "documents")
-    return csv_io.csv_null_literals(
-        docs.select("doc_id", F.get(values, (F.col("doc_id") % 11).cast("int")).alias("raw"), "source")
-    )
+    return csv_io.csv_null_literals(docs.select("doc_id", F.upper(F.substring("text", 2, 2)).alias("piece"), "source"))
 
 
 @query(
@@ -380,9 +385,17 @@ def distinct_groups_present(spark, sf):
     return ingest.distinct_groups_present(fx.posts(spark, sf))
 
 
-@query("sort_by_time", o.posts_sql("SELECT id, created_utc FROM posts ORDER BY created_utc, id"))
+@query(
+    "sort_by_time",
+    o.posts_sql(
+        "SELECT row_number() OVER (ORDER BY created_utc, id) - 1 AS place, id, created_utc, md5(title) AS title_md5, "
+        "md5(body) AS body_md5 FROM posts"
+    ),
+)
 def sort_by_time(spark, sf):
-    return ingest.sort_by_time(fx.posts(spark, sf).select("id", "created_utc"))
+    """Whole posts are sorted; the place of each in the result is compared."""
+    placed = numbered(ingest.sort_by_time(fx.posts(spark, sf)), "place")
+    return placed.select("place", "id", "created_utc", md5("title"), md5("body"))
 
 
 # --- projections, filters and accounting --------------------------------------------------------------
@@ -408,34 +421,31 @@ def project_required_columns(spark, sf):
     )
 
 
-def _raw_numbers(spark, sf, name: str, values: tuple) -> DataFrame:
-    options = F.array(*[F.lit(v).cast("string") for v in values])
-    docs = fx.table(spark, sf, "documents")
-    return docs.select("doc_id", F.get(options, (F.col("doc_id") % len(values)).cast("int")).alias(name))
-
-
-_TIMES = ("1483228800", "abc", "1.5e9", None, " 12 ", "-3.25", "1e", "")
+_LAST_STEP = r"/([^/?#]*)(?:[?#].*)?$"
 
 
 @query(
     "coerce_created_utc",
-    "SELECT doc_id, TRY_CAST(['1483228800', 'abc', '1.5e9', NULL, ' 12 ', '-3.25', '1e', ''][CAST(doc_id % 8 AS INTEGER) + 1] "
-    "AS DOUBLE) AS created_utc FROM documents",
+    f"SELECT page_id, TRY_CAST(regexp_extract(url, '{_LAST_STEP}', 1) AS DOUBLE) AS created_utc FROM pages",
 )
 def coerce_created_utc(spark, sf):
-    raw = _raw_numbers(spark, sf, "created_utc", _TIMES)
-    return raw.select("doc_id", numeric.coerce_double(F.col("created_utc")).alias("created_utc"))
+    """The last step of each URL: a number, a number with a suffix, or nothing."""
+    raw = fx.table(spark, sf, "pages").select("page_id", F.regexp_extract("url", _LAST_STEP, 1).alias("created_utc"))
+    return raw.select("page_id", numeric.coerce_double(F.col("created_utc")).alias("created_utc"))
 
 
 @query(
     "coerce_flags",
-    "SELECT doc_id, CAST(coalesce(trunc(TRY_CAST(['1', '0', 'x', '1.0', NULL, '2.7', ''][CAST(doc_id % 7 AS INTEGER) + 1] "
-    "AS DOUBLE)), 0) AS INTEGER) AS flag, 0 AS absent_flag FROM documents",
+    "SELECT event_id, CAST(coalesce(trunc(CASE WHEN event_id % 2 = 0 THEN value / 100 ELSE TRY_CAST(event_type AS DOUBLE) END), 0) "
+    "AS INTEGER) AS flag, 0 AS absent_flag FROM events",
 )
 def coerce_flags(spark, sf):
-    raw = _raw_numbers(spark, sf, "flag", ("1", "0", "x", "1.0", None, "2.7", ""))
+    """Amounts and words of events, as strings."""
+    amount = (F.col("value") / 100).cast("string")
+    word = F.when(F.col("event_id") % 2 == 0, amount).otherwise(F.col("event_type"))
+    raw = fx.table(spark, sf, "events").select("event_id", word.alias("flag"))
     return raw.select(
-        "doc_id", numeric.numeric_column(raw, "flag", numeric.coerce_flag).alias("flag"),
+        "event_id", numeric.numeric_column(raw, "flag", numeric.coerce_flag).alias("flag"),
         numeric.numeric_column(raw, "no_such_flag", numeric.coerce_flag).alias("absent_flag"),
     )
 
@@ -463,15 +473,10 @@ def build_final_text(spark, sf):
     return final.select("id", "subreddit", "author", md5("final_text"))
 
 
-_BODIES = f"bodies AS (SELECT id, {o.clean('body')} AS cleaned_text FROM posts)"
-
-
-@query(
-    "drop_empty_text",
-    f"WITH {o.POSTS}, {_BODIES} SELECT id, length(cleaned_text) AS chars FROM bodies WHERE trim(cleaned_text) <> ''",
-)
+@query("drop_empty_text", o.tagged_sql("SELECT id, length(c) AS chars FROM whole WHERE trim(c) <> ''"))
 def drop_empty_text(spark, sf):
-    return post_ops.keep_with_cleaned_text(fx.posts(spark, sf).select("id", "body"), "body").select("id", F.length("cleaned_text").cast("bigint").alias("chars"))
+    kept = post_ops.keep_with_cleaned_text(fx.final_texts(spark, sf), "final_text")
+    return kept.select("id", F.length("cleaned_text").cast("bigint").alias("chars"))
 
 
 @query(
@@ -639,25 +644,23 @@ def safe_divide(spark, sf):
     return rounded(fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", ratio.alias("ratio")))
 
 
-_Z = "((doc_id * 37) % 1501 - 750) / 100.0::DOUBLE"
+# How far the mean quantity of an order's lines is from that of quantities spread evenly over 1 to 50.
+_Z = "(SELECT l_orderkey, round((avg(l_quantity) - 25.5) * sqrt(count(*)) / 14.43, 6) AS z FROM lineitem GROUP BY 1)"
 
 
 def _z_values(spark, sf) -> DataFrame:
-    z = ((F.col("doc_id") * 37) % 1501 - 750) / 100.0
-    return fx.table(spark, sf, "documents").select("doc_id", z.alias("z"))
+    z = (F.avg("l_quantity") - 25.5) * F.sqrt(F.count(F.lit(1)).cast("double")) / 14.43
+    return fx.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.round(z, 6).alias("z"))
 
 
-@query("normal_cdf", f"SELECT doc_id, round({o.cdf('z')}, 9) AS cdf FROM (SELECT doc_id, {_Z} AS z FROM documents)")
+@query("normal_cdf", f"SELECT l_orderkey, round({o.cdf('z')}, 9) AS cdf FROM {_Z}")
 def normal_cdf(spark, sf):
-    return rounded(_z_values(spark, sf).select("doc_id", numeric.normal_cdf(F.col("z")).alias("cdf")), 9)
+    return rounded(_z_values(spark, sf).select("l_orderkey", numeric.normal_cdf(F.col("z")).alias("cdf")), 9)
 
 
-@query(
-    "p_value_two_sided",
-    f"SELECT doc_id, round({o.p_value('z')}, 9) AS p_value FROM (SELECT doc_id, {_Z} AS z FROM documents)",
-)
+@query("p_value_two_sided", f"SELECT l_orderkey, round({o.p_value('z')}, 9) AS p_value FROM {_Z}")
 def p_value_two_sided(spark, sf):
-    return rounded(_z_values(spark, sf).select("doc_id", numeric.p_value_two_sided(F.col("z")).alias("p_value")), 9)
+    return rounded(_z_values(spark, sf).select("l_orderkey", numeric.p_value_two_sided(F.col("z")).alias("p_value")), 9)
 
 
 @query(
@@ -666,14 +669,14 @@ def p_value_two_sided(spark, sf):
     {', '.join(f"('{t.name}', {o.quote(k)}, {i})" for t in STUDY.topics for i, k in enumerate(t.keywords))}),
     k AS (SELECT topic_bucket, keyword, {o.clean('keyword')} AS cleaned, pos FROM raw),
     d AS (SELECT *, row_number() OVER (PARTITION BY topic_bucket, cleaned ORDER BY pos) AS r FROM k WHERE cleaned <> ''),
-    {o.POSTS}, b AS (SELECT {o.clean('body')} AS c FROM posts)
+    {o.TAGGED}, b AS (SELECT c FROM whole)
     SELECT topic_bucket, keyword, cleaned, count(b.c) AS posts FROM d
     LEFT JOIN b ON contains(' ' || b.c || ' ', ' ' || d.cleaned || ' ') WHERE r = 1 GROUP BY ALL""",
 )
 def prepare_topic_patterns(spark, sf):
-    bodies = post_ops.with_cleaned_text(fx.documents(spark, sf).select("body"), "body")
+    texts = post_ops.with_cleaned_text(fx.final_texts(spark, sf), "final_text")
     prepared = [(t.name, k) for t in STUDY.topics for k in prepare_keywords(t)]
-    found = bodies.agg(
+    found = texts.agg(
         *[F.count_if(contains_phrase(F.col("cleaned_text"), k.cleaned)).alias(f"n{i}") for i, (_, k) in enumerate(prepared)]
     )
     entries = [
@@ -691,9 +694,9 @@ def prepare_topic_patterns(spark, sf):
     o.tagged_sql(f"SELECT id, {o.has('c', 'from the')} AS phrase, {o.has('c', 're')} AS word FROM t"),
 )
 def keyword_phrase_match(spark, sf):
-    bodies = post_ops.with_cleaned_text(fx.posts(spark, sf).select("id", "body"), "body")
+    texts = post_ops.with_cleaned_text(fx.final_texts(spark, sf), "final_text")
     c = F.col("cleaned_text")
-    return bodies.select("id", contains_phrase(c, "from the").alias("phrase"), contains_phrase(c, "re").alias("word"))
+    return texts.select("id", contains_phrase(c, "from the").alias("phrase"), contains_phrase(c, "re").alias("word"))
 
 
 _MATCHED = [matched_column(n) for n in STUDY.topic_names]
@@ -821,7 +824,7 @@ def overall_baseline_cross_join(spark, sf):
     return rounded(summary.select("topic_bucket", "overall_positive_rate", "overall_negative_rate"))
 
 
-_VOCAB = o.vocabulary("terms", "docs", o.TOP_TERMS)
+_VOCAB = o.vocabulary("terms", "docs", features.MAX_FEATURES)
 
 
 def _all_terms(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -829,7 +832,7 @@ def _all_terms(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = durable(fx.cleaned_docs(spark, sf).select("id", "cleaned_text"))
     terms = features.term_counts(docs)
     frequencies = durable(features.document_frequency(terms, docs))
-    return docs, terms, features.vocabulary_topn(frequencies, o.TOP_TERMS)
+    return docs, terms, durable(features.vocabulary_topn(frequencies))
 
 
 @query(
@@ -843,7 +846,7 @@ def _all_terms(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
 def vocabulary_join(spark, sf):
     docs, terms, vocabulary = _all_terms(spark, sf)
     model = vocabulary.select("term", "idf")
-    known = features.attach_vocabulary(terms, model, o.TOP_TERMS)
+    known = features.attach_vocabulary(terms, model)
     sums = known.groupBy("id").agg(F.count(F.lit(1)).alias("known_terms"), F.sum("idf").alias("idf_sum"))
     kept = docs.select("id").join(sums, "id", "left")
     return rounded(kept.fillna(0, ["known_terms"]).fillna(0.0, ["idf_sum"]))
@@ -1059,13 +1062,14 @@ def chart_period_rates(spark, sf):
 
 def _chart_topic(name: str, order: str):
     sql = o.tagged_sql(
-        f"SELECT topic_bucket, {o.r6('avg(predicted_label)')} AS positive_rate, count(*) AS total_posts FROM vl GROUP BY 1"
+        f"SELECT *, row_number() OVER (ORDER BY {order} DESC, topic_bucket) - 1 AS place FROM (SELECT topic_bucket, "
+        f"{o.r6('avg(predicted_label)')} AS positive_rate, count(*) AS total_posts FROM vl GROUP BY 1)"
     )
 
     @query(name, sql)
     def run(spark, sf):
         table = sentiment.topic_sentiment_table(fx.rows(spark, sf), STUDY)
-        return rounded(sentiment.chart_rates(table, "topic_bucket", order))
+        return rounded(numbered(sentiment.chart_rates(table, "topic_bucket", order), "place"))
 
     return run
 
@@ -1107,23 +1111,26 @@ def indexed_topic_trend(spark, sf):
 
 @query(
     "topics_by_total_volume",
-    o.tagged_sql("SELECT topic_bucket, count(vl.id) AS total_volume FROM topics LEFT JOIN vl USING (topic_bucket) GROUP BY 1"),
+    o.tagged_sql(
+        "SELECT *, row_number() OVER (ORDER BY total_volume DESC, topic_bucket) - 1 AS place FROM (SELECT topic_bucket, "
+        "count(vl.id) AS total_volume FROM topics LEFT JOIN vl USING (topic_bucket) GROUP BY 1)"
+    ),
 )
 def topics_by_total_volume(spark, sf):
-    return sentiment.topics_by_total_volume(sentiment.topic_monthly_table(fx.rows(spark, sf), STUDY))
+    return numbered(sentiment.topics_by_total_volume(sentiment.topic_monthly_table(fx.rows(spark, sf), STUDY)), "place")
 
 
 @query(
     "topic_post_long",
     o.tagged_sql(
-        "SELECT id, subreddit, year_month, time_period, predicted_label, predicted_sentiment, prob_positive, topic_bucket, "
+        "SELECT id, subreddit, year_month, time_period, predicted_label, predicted_sentiment, "
+        f"{o.r6('prob_negative')} AS prob_negative, {o.r6('prob_positive')} AS prob_positive, topic_bucket, "
         "topic_description FROM vl JOIN topics USING (topic_bucket)"
     ),
 )
 def topic_post_long(spark, sf):
-    columns = ("id", "subreddit", "year_month", "time_period", "predicted_label", "predicted_sentiment", "prob_positive")
     labelled = fx.tagged(spark, sf).filter(F.col("predicted_label").isin(0, 1))
-    return tagging.topic_post_long(labelled, STUDY, columns)
+    return rounded(tagging.topic_post_long(labelled, STUDY, POST_COLUMNS))
 
 
 # --- trends -------------------------------------------------------------------------------------------------
@@ -1151,9 +1158,12 @@ def full_month_index(spark, sf):
     return trends.full_month_index(fx.rows(spark, sf))
 
 
-@query("sort_months", o.tagged_sql("SELECT DISTINCT year_month FROM t"))
+@query(
+    "sort_months",
+    o.tagged_sql("SELECT year_month, row_number() OVER (ORDER BY year_month) - 1 AS place FROM (SELECT DISTINCT year_month FROM t)"),
+)
 def sort_months(spark, sf):
-    return trends.sort_months(fx.rows(spark, sf))
+    return numbered(trends.sort_months(fx.rows(spark, sf)), "place")
 
 
 @query(
@@ -1551,7 +1561,7 @@ def vocabulary_topn(spark, sf):
 )
 def tfidf_weights(spark, sf):
     _, terms, vocabulary = _all_terms(spark, sf)
-    return rounded(features.tfidf_weights(terms, vocabulary, o.TOP_TERMS))
+    return rounded(features.tfidf_weights(terms, vocabulary))
 
 
 @query("stratified_split", o.model_sql("SELECT id, label, split FROM split"))
@@ -1570,22 +1580,40 @@ def train_naive_bayes(spark, sf):
 
 @query(
     "predict_sentiment",
-    o.model_sql(
-        f"SELECT id, predicted_label, predicted_sentiment, {o.r6('prob_negative')} AS prob_negative, "
-        f"{o.r6('prob_positive')} AS prob_positive FROM predicted"
-    ),
+    f"""WITH {o.LABELED}, {o.REPEATED}
+    SELECT 'naive_bayes' AS model, id, predicted_label, predicted_sentiment, {o.r6('prob_negative')} AS prob_negative,
+      {o.r6('prob_positive')} AS prob_positive, true AS consistent FROM again_predicted
+    UNION ALL SELECT 'logistic_regression', id, NULL, NULL, NULL, NULL, true FROM again WHERE c <> ''""",
 )
 def predict_sentiment(spark, sf):
-    model = durable(_bayes_model(_train(spark, sf)))
+    """Both models over documents of which some ids occur twice with different texts. The default model's
+    figures SQL cannot give; of those, that they agree with each other."""
+    train = _train(spark, sf)
+    vocabulary = durable(models.fit_vocabulary(train))
+    vectors = durable(features.document_vectors(train, vocabulary))
+    bayes = models.naive_bayes_model(models.train_naive_bayes(vectors, vocabulary), models.class_log_prior(train))
+    logistic = models.train_logistic_regression(vectors, vocabulary)
     texts = fx.texts(spark, sf, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
+    first_line = F.split_part("text", F.lit("\n"), F.lit(1))
+    texts = texts.unionByName(texts.filter(F.col("doc_id") % 10 == 0).withColumn("text", first_line))
     docs = post_ops.keep_with_cleaned_text(texts, "text").select("id", "cleaned_text")
-    return rounded(models.predict_sentiment(docs, model, o.TOP_TERMS))
+    positive = F.col("prob_positive") > 0.5
+    consistent = (
+        (F.abs(F.col("prob_negative") + F.col("prob_positive") - 1.0) < 1e-9)
+        & (F.col("predicted_label") == positive.cast("int"))
+        & (F.col("predicted_sentiment") == F.when(positive, "positive").otherwise("negative"))
+    ).alias("consistent")
+    figures = ("predicted_label", "predicted_sentiment", "prob_negative", "prob_positive")
+    of_bayes = models.predict_sentiment(docs, durable(bayes)).select(F.lit("naive_bayes").alias("model"), "id", *figures, consistent)
+    of_logistic = models.predict_sentiment(docs, durable(logistic))
+    hidden = [F.lit(None).cast(of_logistic.schema[c].dataType).alias(c) for c in figures]
+    return rounded(of_bayes.unionByName(of_logistic.select(F.lit("logistic_regression").alias("model"), "id", *hidden, consistent)))
 
 
 def _test_scored(spark, sf) -> DataFrame:
     split = _split(spark, sf)
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    return models.predict_sentiment(test, durable(_bayes_model(train)), o.TOP_TERMS, keep=("label",))
+    return models.predict_sentiment(test, durable(_bayes_model(train)), keep=("label",))
 
 
 _METRICS = f"""cm AS (SELECT c, count(*) FILTER (label = c AND predicted_label = c)::DOUBLE AS hit,
@@ -1621,14 +1649,46 @@ def confusion_matrix(spark, sf):
     return models.confusion_matrix(_test_scored(spark, sf))
 
 
-@query("train_logistic_regression")
+# Largest slope of the objective that counts as its minimum; the penalty's own scale is 1.
+_AT_MINIMUM = 0.01
+
+
+@query(
+    "train_logistic_regression",
+    o.model_sql(f"SELECT term, {o.r6('idf')} AS idf, true AS at_minimum FROM vocab UNION ALL SELECT NULL, NULL, true"),
+)
 def train_logistic_regression(spark, sf):
+    """The objective is strictly convex, so a model is the fitted one if its gradient vanishes."""
     train = _train(spark, sf)
-    vocabulary = durable(models.fit_vocabulary(train, o.TOP_TERMS))
-    vectors = features.document_vectors(train, vocabulary, o.TOP_TERMS)
-    return models.train_logistic_regression(vectors, vocabulary)
+    vocabulary = durable(models.fit_vocabulary(train))
+    vectors = durable(features.document_vectors(train, vocabulary))
+    model = durable(models.train_logistic_regression(vectors, vocabulary))
+    gradient = models.logistic_regression_gradient(vectors, vocabulary, model)
+    return rounded(gradient.select("term", "idf", (F.abs("gradient") < _AT_MINIMUM).alias("at_minimum")))
 
 
-@query("model_selection")
+@query(
+    "model_selection",
+    f"""WITH {o.LABELED}, {_METRICS}, majority AS (SELECT max(n)::DOUBLE / sum(n) AS share
+      FROM (SELECT count(*) AS n FROM split WHERE split = 'test' GROUP BY label))
+    SELECT 'naive_bayes' AS model, (SELECT {o.r6('a')} FROM acc) AS accuracy,
+      (SELECT {o.r6('f')} FROM report WHERE scope = 'positive') AS f1_positive, true AS sound, 1 AS selected_models
+    UNION ALL SELECT 'logistic_regression', NULL, NULL, true, 1""",
+)
 def model_selection(spark, sf):
-    return fit_both(fx.labeled_docs(spark, sf), o.TOP_TERMS).selection
+    """Naive Bayes exactly; of logistic regression, whose figures SQL cannot give, that it is no worse than
+    the majority class; of both, that one is selected and none has a better accuracy."""
+    trained = fit_both(fx.labeled_docs(spark, sf))
+    rows = durable(trained.selection)
+    of_test = durable(trained.test.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+    majority = of_test.agg(F.max("n") / F.sum("n")).scalar()
+    best = rows.agg(F.max("accuracy")).scalar()
+    bayes = F.col("model") == "naive_bayes"
+    no_worse = bayes | (F.col("accuracy") >= majority)
+    return rounded(
+        rows.select(
+            "model", F.when(bayes, F.col("accuracy")).alias("accuracy"), F.when(bayes, F.col("f1_positive")).alias("f1_positive"),
+            (no_worse & (~F.col("selected") | (F.col("accuracy") == best))).alias("sound"),
+            F.lit(rows.agg(F.count_if("selected")).scalar()).cast("int").alias("selected_models"),
+        )
+    )

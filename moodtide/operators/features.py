@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodtide.session import numbered
+
 # Vocabulary cap and shortest token.
 MAX_FEATURES = 50_000
 MIN_TOKEN_LENGTH = 2
-# A vocabulary is broadcast up to this many terms (some tens of megabytes); beyond it, shuffled.
-BROADCAST_TERMS = 1_000_000
+# Number of a row within one plan: what tells rows apart that share a key.
+ROW = "_row"
 
 
 def tokenize(text: Column) -> Column:
@@ -22,12 +24,13 @@ def tokenize(text: Column) -> Column:
 
 
 def term_counts(docs: DataFrame, text: str = "cleaned_text", keep: tuple[str, ...] = ("id",)) -> DataFrame:
-    """(kept columns, term, tf). Keep only narrow columns: they are repeated per term."""
+    """(kept columns, row number, term, tf). Keep only narrow columns: they are repeated per term."""
     return _exploded(docs, text, keep, F.explode).filter(F.length("term") >= MIN_TOKEN_LENGTH)
 
 
 def _exploded(docs: DataFrame, text: str, keep: tuple[str, ...], generator) -> DataFrame:
-    words = docs.select(*keep, F.sort_array(F.split(F.lower(F.coalesce(text, F.lit(""))), " ")).alias("_w"))
+    keep = (*keep, ROW)
+    words = docs.withColumn(ROW, F.monotonically_increasing_id()).select(*keep, F.sort_array(F.split(F.lower(F.coalesce(text, F.lit(""))), " ")).alias("_w"))
     size = F.size("_w")
     positions = F.sequence(F.lit(0), size - 1)
     is_start = lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1))
@@ -76,47 +79,43 @@ def vocabulary_topn(frequencies: DataFrame, max_features: int = MAX_FEATURES) ->
     return frequencies.filter(level >= needed).orderBy(F.desc("corpus_freq"), "term").limit(max_features)
 
 
-def attach_vocabulary(terms: DataFrame, vocabulary: DataFrame, size: int, how: str = "inner") -> DataFrame:
-    """Terms joined to the vocabulary columns; broadcast only below a known size."""
-    side = F.broadcast(vocabulary) if size <= BROADCAST_TERMS else vocabulary
-    return terms.join(side, "term", how)
+def attach_vocabulary(terms: DataFrame, vocabulary: DataFrame, how: str = "inner") -> DataFrame:
+    """Terms joined to the vocabulary columns. Pass a written vocabulary or model: its size is then
+    known to the planner, which broadcasts a small one and shuffles a large one."""
+    return terms.join(vocabulary, "term", how)
 
 
-def tfidf_weights(
-    terms: DataFrame, vocabulary: DataFrame, size: int = MAX_FEATURES, keep: tuple[str, ...] = ("id",)
-) -> DataFrame:
+def tfidf_weights(terms: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """(kept columns, term, weight): sublinear tf times idf, each document of unit length.
 
-    One shuffle by document; a document has at most one row per vocabulary term. The kept columns
-    together identify a document.
+    One shuffle by row number; a document has at most one row per vocabulary term. Rows with the
+    same key are different documents.
     """
-    weighted = attach_vocabulary(terms, vocabulary.select("term", "idf"), size).select(
-        *keep, "term", (_sublinear(F.col("tf")) * F.col("idf")).alias("w")
+    weighted = attach_vocabulary(terms, vocabulary.select("term", "idf")).select(
+        *keep, ROW, "term", (_sublinear(F.col("tf")) * F.col("idf")).alias("w")
     )
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keep)))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(ROW)))
     return weighted.select(*keep, "term", (F.col("w") / length).alias("weight"))
 
 
 def index_vocabulary(vocabulary: DataFrame) -> DataFrame:
-    """Adds ``idx``, the place of each term in alphabetical order. Runs over the capped vocabulary."""
-    place = F.row_number().over(Window.partitionBy().orderBy("term")) - 1
-    return vocabulary.select("term", "idf", place.alias("idx"))
+    """Adds ``idx``, numbering the terms from 0 without gaps."""
+    return numbered(vocabulary.select("term", "idf"), "idx").withColumn("idx", F.col("idx").cast("int"))
 
 
 def document_vectors(
-    docs: DataFrame, indexed: DataFrame, size: int, text: str = "cleaned_text",
-    keep: tuple[str, ...] = ("id", "label"),
+    docs: DataFrame, indexed: DataFrame, text: str = "cleaned_text", keep: tuple[str, ...] = ("id", "label")
 ) -> DataFrame:
     """(kept columns, entries): each document's unit-length weights as (idx, weight) by index.
 
     Gathering the entries and their length is one aggregate, hence one shuffle. Documents without
-    a known term stay, with no entries. The kept columns together identify a document.
+    a known term stay, with no entries. Rows with the same key are different documents.
     """
     terms = _exploded(docs, text, keep, F.explode_outer)
-    known = attach_vocabulary(terms, indexed, size, "left")
+    known = attach_vocabulary(terms, indexed, "left")
     weight = _sublinear(F.col("tf")) * F.col("idf")
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", F.col("w").alias("weight")))
-    gathered = known.select(*keep, "idx", weight.alias("w")).groupBy(*keep).agg(
+    gathered = known.select(*keep, ROW, "idx", weight.alias("w")).groupBy(*keep, ROW).agg(
         F.sort_array(F.collect_list(entry)).alias("raw"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length")
     )
     unit = F.transform("raw", lambda e: F.struct(e["idx"].alias("idx"), (e["weight"] / F.col("length")).alias("weight")))
@@ -124,18 +123,18 @@ def document_vectors(
 
 
 def score_documents(
-    docs: DataFrame, model: DataFrame, size: int, text: str = "cleaned_text", keep: tuple[str, ...] = ("id",)
+    docs: DataFrame, model: DataFrame, text: str = "cleaned_text", keep: tuple[str, ...] = ("id",)
 ) -> DataFrame:
     """(kept columns, margin): the linear model's sum over the unit-length weights, without intercept.
 
-    Terms meet the broadcast model where they are, and each document is reduced to two sums
-    before the only shuffle. Documents without a known term stay, with margin 0. The kept columns
-    together identify a document.
+    Terms meet a model that is small enough to be broadcast where they are, and each document is
+    reduced to two sums before the only shuffle. Documents without a known term stay, with margin 0.
+    Rows with the same key are different documents and are scored one by one.
     """
     terms = _exploded(docs, text, keep, F.explode_outer)
-    known = attach_vocabulary(terms, model.select("term", "idf", "coefficient"), size, "left")
+    known = attach_vocabulary(terms, model.select("term", "idf", "coefficient"), "left")
     weight = _sublinear(F.col("tf")) * F.col("idf")
-    sums = known.select(*keep, weight.alias("w"), "coefficient").groupBy(*keep).agg(
+    sums = known.select(*keep, ROW, weight.alias("w"), "coefficient").groupBy(*keep, ROW).agg(
         F.sum(F.col("w") * F.col("w")).alias("sq"), F.sum(F.col("w") * F.col("coefficient")).alias("dot")
     )
     margin = F.coalesce(F.try_divide(F.col("dot"), F.sqrt("sq")), F.lit(0.0))

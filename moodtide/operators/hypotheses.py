@@ -240,13 +240,14 @@ def hypothesis_readiness(tagged: DataFrame, rows: DataFrame, study: Study) -> Da
     named = tagged.filter(
         numeric_column(tagged, "predicted_label", coerce_label).isNotNull() & (normalize_text(F.col("author")) != "")
     )
+    least = study.min_user_posts
     users = (
         named.groupBy("author").agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count_if(F.col("n") >= 3).alias("users"))
+        .agg(F.count_if(F.col("n") >= least).alias("users"))
     )
     from_users = users.select(F.inline(F.array(
         row("H3", "User-level sentiment differs by topic and produces cross-topic correlations.",
             F.col("users") > 0, "partially_testable", not_yet,
-            F.format_string("eligible users with >=3 posts=%d", "users")),
+            F.format_string(f"eligible users with >={least} posts=%d", "users")),
     )))
     return from_posts.unionByName(from_users).orderBy("hypothesis")

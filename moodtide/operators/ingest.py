@@ -34,11 +34,12 @@ MISSING_GROUP, NOT_TARGET, OUT_OF_RANGE, KEPT = "missing_group", "not_target", "
 def parse_json_record(lines: DataFrame) -> DataFrame:
     """Adds ``keys`` (NULL for a line that is not a JSON object) and ``record``.
 
-    The keys tell an absent field from one that is present but null. A line must also end with
-    its closing brace: the JSON functions themselves would accept trailing garbage.
+    The keys tell an absent field from one that is present but null. A line must be one value and end
+    with its closing brace: the JSON functions themselves would accept trailing garbage and further objects.
     """
     line = strip_whitespace(F.col("value"))
-    is_object = F.endswith(line, F.lit("}"))
+    single = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    is_object = F.endswith(line, F.lit("}")) & F.coalesce(single, F.lit(False))
     return compute_once(
         lines.withColumn("line", line),
         keys=F.when(is_object, F.json_object_keys(F.col("line"))),

@@ -7,9 +7,10 @@ term holding the intercept. Scoring and storage therefore know one model shape o
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from moodtide.operators.features import (
     MAX_FEATURES, document_frequency, index_vocabulary, score_documents, term_counts, vocabulary_topn,
@@ -110,13 +111,14 @@ def train_naive_bayes(vectors: DataFrame, indexed: DataFrame, alpha: float = NB_
     entries = vectors.select("label", F.inline("entries"))
     of_class = {c: F.sum(F.when(F.col("label") == c, F.col("weight"))).alias(f"sum_{c}") for c in (0, 1)}
     sums = entries.groupBy("idx").agg(*of_class.values())
-    terms = indexed.join(sums, "idx", "left").select(
-        "term", "idf", *[F.coalesce(F.col(f"sum_{c}"), F.lit(0.0)).alias(f"sum_{c}") for c in (0, 1)]
+    terms = durable(
+        indexed.join(sums, "idx", "left").select(
+            "term", "idf", *[F.coalesce(F.col(f"sum_{c}"), F.lit(0.0)).alias(f"sum_{c}") for c in (0, 1)]
+        )
     )
-    every_term = Window.partitionBy()  # one row per vocabulary term
-    size = F.count(F.lit(1)).over(every_term)
+    size = terms.agg(F.count(F.lit(1))).scalar()
     log_prob = [
-        F.log((F.col(f"sum_{c}") + alpha) / (F.sum(f"sum_{c}").over(every_term) + alpha * size)).alias(f"log_prob_{c}")
+        F.log((F.col(f"sum_{c}") + alpha) / (terms.agg(F.sum(f"sum_{c}")).scalar() + alpha * size)).alias(f"log_prob_{c}")
         for c in (0, 1)
     ]
     return terms.select("term", "idf", *log_prob)
@@ -142,10 +144,18 @@ def naive_bayes_model(log_probs: DataFrame, log_prior: DataFrame) -> DataFrame:
     return terms.unionByName(intercept)
 
 
-@F.udf(VectorUDT())
-def _sparse(size, entries):
-    """One document's (index, weight) entries as a vector; the only row-wise Python in training."""
-    return SparseVector(size, [e["idx"] for e in entries], [e["weight"] for e in entries])
+_VECTORS = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
+
+
+def vector_table(vectors: DataFrame, size: int) -> DataFrame:
+    """(label, features) with sparse vectors. A vector is stored as a struct of its kind, size, indices and
+    values; the struct is put together by column expressions, written, and read as a vector."""
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+        F.transform("entries", lambda e: e["idx"]).alias("indices"),
+        F.transform("entries", lambda e: e["weight"]).alias("values"),
+    )
+    return durable(vectors.select(F.col("label").cast("double").alias("label"), sparse.alias("features")), _VECTORS)
 
 
 def train_logistic_regression(
@@ -157,9 +167,7 @@ def train_logistic_regression(
     The coefficients pass the driver; the vocabulary cap bounds them.
     """
     size = indexed.count()
-    features = durable(
-        vectors.select(F.col("label").cast("double").alias("label"), _sparse(F.lit(size), "entries").alias("features"))
-    )
+    features = vector_table(vectors, size)
     fitted = LogisticRegression(
         regParam=1.0 / (c * features.count()), elasticNetParam=0.0, standardization=False, maxIter=max_iter
     ).fit(features)
@@ -173,20 +181,39 @@ def train_logistic_regression(
     return terms.unionByName(intercept)
 
 
+def logistic_regression_gradient(vectors: DataFrame, indexed: DataFrame, model: DataFrame, c: float = LR_C) -> DataFrame:
+    """(term, idf, gradient) of the stated objective, the penalty plus C times the summed loss, at the model's
+    coefficients; the row without a term is the intercept. All are near 0 at the optimum."""
+    rows = durable(vectors.select("label", "entries", F.monotonically_increasing_id().alias("_row")))
+    weights = indexed.join(model, "term").select("idx", "term", indexed["idf"], "coefficient")
+    entries = rows.select("_row", F.inline("entries"))
+    margins = entries.join(weights, "idx").groupBy("_row").agg(F.sum(F.col("weight") * F.col("coefficient")).alias("margin"))
+    intercept = model.filter(F.col("term").isNull()).select("coefficient").scalar()
+    margin = F.coalesce("margin", F.lit(0.0)) + intercept
+    errors = durable(
+        rows.join(margins, "_row", "left").select("_row", (1.0 / (1.0 + F.exp(-margin)) - F.col("label")).alias("error"))
+    )
+    sums = entries.join(errors, "_row").groupBy("idx").agg(F.sum(F.col("weight") * F.col("error")).alias("slope"))
+    of_terms = weights.join(sums, "idx", "left").select(
+        "term", "idf", (F.col("coefficient") + c * F.coalesce("slope", F.lit(0.0))).alias("gradient")
+    )
+    of_intercept = errors.select(
+        F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"), (c * F.col("error")).alias("e")
+    ).groupBy("term", "idf").agg(F.sum("e").alias("gradient"))
+    return of_terms.unionByName(of_intercept)
+
+
 def predict_sentiment(
-    docs: DataFrame, model: DataFrame, size: int | None = None, key: str = "id", text: str = "cleaned_text",
-    keep: tuple[str, ...] = (),
+    docs: DataFrame, model: DataFrame, key: str = "id", text: str = "cleaned_text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Key, kept columns, label, sentiment and both probabilities for every document.
 
-    ``size`` is a known bound on the model's rows; without one they are counted, since the model is
-    broadcast only up to a limit.
+    Pass a written model (``durable`` or ``read_model``), whose size the planner knows.
 
     Narrow columns named in ``keep`` ride along through the one small shuffle, so tagging before
     scoring and keeping the flags avoids moving any text. A tie is class 0.
     """
-    size = model.count() if size is None else size
-    scores = score_documents(docs, model.filter(F.col("term").isNotNull()), size, text, (key, *keep))
+    scores = score_documents(docs, model.filter(F.col("term").isNotNull()), text, (key, *keep))
     intercept = model.filter(F.col("term").isNull()).select("coefficient").scalar()
     margin = F.col("margin") + intercept
     positive = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))

@@ -37,32 +37,14 @@ def author_post_counts(posts: DataFrame, min_posts: int = 1) -> DataFrame:
     return counts.filter(F.col("total_posts_by_user") >= min_posts)
 
 
-# An author above this share of all posts is spread over several join tasks. At most 1/share
-# authors can be above it, which bounds the table that gets broadcast.
-_HOT_SHARE = 0.001
-_SALTS = 64
-
-
-def semi_join_eligible_authors(posts: DataFrame, min_posts: int, row_key: str = "id") -> DataFrame:
+def semi_join_eligible_authors(posts: DataFrame, min_posts: int) -> DataFrame:
     """The posts whose author has at least ``min_posts`` posts.
 
-    Authors holding more than a thousandth of all posts (so at most a thousand of them) are
-    broadcast and their posts join on a salted key, each salt repeated once on the author side;
-    all other keys are small enough for a plain shuffled semi join. One join does both. The counts
-    are written once, as three places read them.
+    A plain semi join with the written counts: the side of the posts comes straight from its shuffle, so
+    the partitions of prolific authors are split at run time.
     """
-    counts = durable(author_post_counts(posts))
-    total = counts.agg(F.sum("total_posts_by_user").alias("n")).scalar()
-    is_hot = F.col("total_posts_by_user") > total * _HOT_SHARE
-    hot = counts.filter(is_hot).select("author_norm", F.lit(True).alias("_hot"))
-    spread = posts.join(F.broadcast(hot), "author_norm", "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(row_key), F.lit(_SALTS)).cast("int")).otherwise(F.lit(0)),
-    )
-    eligible = counts.filter(F.col("total_posts_by_user") >= min_posts)
-    last = F.when(is_hot, F.lit(_SALTS - 1)).otherwise(F.lit(0))
-    salted = eligible.select("author_norm", F.explode(F.sequence(F.lit(0), last)).alias("_salt"))
-    return spread.join(salted, ["author_norm", "_salt"], "left_semi").select(*posts.columns)
+    eligible = durable(author_post_counts(posts, min_posts))
+    return posts.join(eligible, "author_norm", "left_semi")
 
 
 def author_topics(posts: DataFrame, study: Study) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from moodtide.config import Study
 from moodtide.operators import hypotheses as h
@@ -10,6 +11,7 @@ from moodtide.operators import sentiment as s
 from moodtide.operators import trends as t
 from moodtide.operators import users as u
 from moodtide.operators.measures import measured, report_cube
+from moodtide.operators.tagging import topic_post_long
 from moodtide.session import durable
 from moodtide.sources.csv import write_csv
 
@@ -65,9 +67,20 @@ def report_tables(tagged: DataFrame, study: Study) -> dict[str, DataFrame]:
     }
 
 
+#: Columns of the one table that has a row per post and topic.
+POST_COLUMNS = (
+    "id", "subreddit", "year_month", "time_period", "predicted_label", "predicted_sentiment", "prob_negative", "prob_positive",
+)
+
+
 def write_report(tagged: DataFrame, study: Study, out: str) -> list[str]:
-    """Write every table as CSV below ``out``; returns the table names."""
+    """Write every table as CSV below ``out``; returns the table names. The table with a row per post and
+    topic is as large as the posts and is written as Parquet, if ``tagged`` has its columns."""
     tables = report_tables(tagged, study)
     for name, table in tables.items():
         write_csv(table, f"{out.rstrip('/')}/{name}")
-    return list(tables)
+    if not set(POST_COLUMNS) <= set(tagged.columns):
+        return list(tables)
+    labelled = tagged.filter(F.col("predicted_label").isin(0, 1))
+    topic_post_long(labelled, study, POST_COLUMNS).write.parquet(f"{out.rstrip('/')}/topic_post_long_format")
+    return [*tables, "topic_post_long_format"]

@@ -33,11 +33,11 @@ def fit_both(labeled: DataFrame, max_features: int = MAX_FEATURES) -> Trained:
     split = apply_split(rows, durable(split_thresholds(rows)))
     train, test = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     vocabulary = durable(fit_vocabulary(train, max_features))
-    vectors = durable(document_vectors(train, vocabulary, max_features))
+    vectors = durable(document_vectors(train, vocabulary))
     bayes = durable(naive_bayes_model(train_naive_bayes(vectors, vocabulary), class_log_prior(train)))
     logistic = durable(train_logistic_regression(vectors, vocabulary))
     scored = {
-        name: predict_sentiment(test, model, max_features, keep=("label",))
+        name: predict_sentiment(test, model, keep=("label",))
         for name, model in (("logistic_regression", logistic), ("naive_bayes", bayes))
     }
     return Trained(logistic, bayes, test, model_selection(scored))

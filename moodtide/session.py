@@ -7,7 +7,9 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 #: Applications whose Python workers have this package.
@@ -58,15 +60,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once below the shared folder and go on from that table.
 
     Cuts the lineage, so a lost executor costs a re-read instead of a recomputation, and computes
-    the plan once. As Parquet, later steps still read only the columns they need.
+    the plan once. As Parquet, later steps still read only the columns they need. ``schema`` gives the
+    written columns other types of the same form, such as a vector type.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written, with the rows numbered from 0 without gaps in the order of its partitions and rows, so
+    in its sort order if it is sorted. Rows are counted within their task; only the tasks' counts meet."""
+    rows = durable(df.withColumn("_n", F.monotonically_increasing_id()))
+    task = F.shiftright("_n", 33)  # what monotonically_increasing_id puts above the row's own number
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("n")).select(
+        "_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first")
+    )
+    place = F.col("_first") + F.col("_n").bitwiseAND((1 << 33) - 1)
+    return rows.join(tasks, task == F.col("_task")).select(*df.columns, place.alias(name))
 
 
 def remove_scratch(spark: SparkSession) -> None:

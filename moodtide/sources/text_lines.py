@@ -9,6 +9,7 @@ from moodtide.functions.text import strip_whitespace
 
 # Fixed value: file names taken as line dumps.
 DUMP_GLOB = "*.{zst,jsonl,ndjson,json}"
+PLAIN_GLOB = "*.{jsonl,ndjson,json}"
 
 
 def with_file_order(lines: DataFrame) -> DataFrame:
@@ -22,10 +23,12 @@ def with_file_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
+def scan_lines(
+    spark: SparkSession, paths: str | list[str], recursive: bool = False, glob: str = DUMP_GLOB
+) -> DataFrame:
     """Every line (``value``) of the dump files at the paths. Plain files are split; a compressed
     one is a single task, so give it in many files or repartition after the scan."""
-    reader = spark.read.option("pathGlobFilter", DUMP_GLOB).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
     return with_file_order(reader.text(paths))
 
 

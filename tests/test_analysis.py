@@ -169,7 +169,7 @@ def test_semi_join_with_a_hot_author(spark):
 
 def test_report_is_written(spark, tagged, tmp_path):
     names = write_report(tagged, STUDY, str(tmp_path))
-    assert len(names) == 31
+    assert len(names) == 32
     (part,) = [p for p in (tmp_path / "topic_sentiment_table").glob("*.csv")]
     with open(part, newline="", encoding="utf-8") as f:
         table = list(csv.DictReader(f))

@@ -21,6 +21,8 @@ LINES = [
     ("bad{", "json_error"),
     ("[1]", "json_error"),
     ('{"id": "x"} tail', "json_error"),
+    ('{"id": "x", "subreddit": "jobs", "created_utc": 1500000000}{"id": "y"}', "json_error"),
+    ('{"a": 1},{"b": 2}', "json_error"),
     ('{"id": "n", "subreddit": null}', "missing_group"),
     ('{"id": "a", "created_utc": 1500000000}', "missing_group"),
     ('{"id": "b", "subreddit": "cats", "created_utc": 1500000000}', "not_target"),
@@ -46,7 +48,7 @@ def test_counters_add_up(spark):
     df = ingest.classify_lines(line_frame(spark, [line for line, _ in LINES]), STUDY)
     row = ingest.ingest_counters(df).first().asDict()
     assert row == {
-        "total_lines": 14, "parsed_records": 9, "json_errors": 3, "missing_group": 2, "out_of_range": 3,
+        "total_lines": 16, "parsed_records": 9, "json_errors": 5, "missing_group": 2, "out_of_range": 3,
         "kept_records": 3,
     }
 
@@ -166,6 +168,26 @@ def test_long_window_zst(spark, tmp_path):
     assert [r["value"] for r in rows] == want
 
 
+def test_packed_and_plain_dumps_give_the_same_posts(spark, tmp_path):
+    """"First" in deduplication is file order in both readers; a folder may hold both kinds."""
+    import zstandard
+
+    records = [[post_line(i, title=f"{name} {i}") for i in range(40)] for name in ("first", "second")]
+    for folder in ("plain", "packed", "mixed"):
+        (tmp_path / folder).mkdir()
+    for n, lines in enumerate(records):
+        data = "\n".join(lines).encode()
+        packer = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(1, window_log=28)).compressobj()
+        packed = packer.compress(data) + packer.flush()
+        (tmp_path / "plain" / f"{n}.jsonl").write_bytes(data)
+        (tmp_path / "packed" / f"{n}.zst").write_bytes(packed)
+        name, content = (f"{n}.zst", packed) if n else (f"{n}.jsonl", data)
+        (tmp_path / "mixed" / name).write_bytes(content)
+    found = [sorted(map(tuple, load_posts(spark, str(tmp_path / folder), STUDY).collect())) for folder in ("plain", "packed", "mixed")]
+    assert len(found[0]) == 40 and found[0] == found[1] == found[2]
+    assert all("first" in repr(row) for row in found[0])
+
+
 def test_discovery_and_order(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     for name in ("a.jsonl", "sub/b.ndjson", "sub/c.json", "skip.txt"):

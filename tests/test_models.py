@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from moodtide.operators import features, models
 from moodtide.plans.training_plan import fit_both
+from moodtide.session import durable
 from moodtide.sources.artifacts import read_model, write_model
 
 WORDS = ["good", "great", "bad", "awful", "the", "a", "job", "offer", "x", "market"]
@@ -48,7 +49,7 @@ def test_weights_against_direct_computation(spark, labeled):
         df.update(set(words))
     keep = [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:6]]
     idf = {w: math.log((1 + len(texts)) / (1 + df[w])) + 1 for w in keep}
-    got = {(r["id"], r["term"]): r["weight"] for r in features.tfidf_weights(terms, vocabulary, 6).collect()}
+    got = {(r["id"], r["term"]): r["weight"] for r in features.tfidf_weights(terms, vocabulary).collect()}
     want = {}
     for i, words in texts.items():
         w = {t: (1 + math.log(c)) * idf[t] for t, c in Counter(words).items() if t in idf}
@@ -111,15 +112,32 @@ def test_vectors_tell_rows_of_one_key_apart(spark):
     """One text labelled both ways is two documents."""
     docs = spark.createDataFrame([("1", 0, "aa bb aa"), ("1", 1, "aa bb aa"), ("2", 1, "zz")], "id string, label int, cleaned_text string")
     vocabulary = spark.createDataFrame([("aa", 1.0, 0), ("bb", 1.0, 1)], "term string, idf double, idx int")
-    rows = features.document_vectors(docs, vocabulary, 2).orderBy("id", "label").collect()
+    rows = features.document_vectors(docs, vocabulary).orderBy("id", "label").collect()
     lengths = [sum(e["weight"] ** 2 for e in r["entries"]) for r in rows]
     assert lengths == [pytest.approx(1.0), pytest.approx(1.0), 0]
 
 
+def test_rows_of_one_key_are_scored_and_fitted_one_by_one(spark, labeled):
+    model = spark.createDataFrame([("good", 1.0, 2.0), ("bad", 1.0, -2.0), (None, None, 0.0)], "term string, idf double, coefficient double")
+    docs = spark.createDataFrame([("1", "good"), ("1", "good"), ("1", "bad good"), ("1", "bad")], "id string, cleaned_text string")
+    scores = sorted(round(r["prob_positive"], 6) for r in models.predict_sentiment(docs, model).collect())
+    high = round(1 / (1 + math.exp(-2)), 6)
+    assert scores == [round(1 - high, 6), 0.5, high, high]
+    weights = features.tfidf_weights(features.term_counts(docs), model.filter("term IS NOT NULL")).collect()
+    assert len(weights) == 5 and sum(r["weight"] == 1.0 for r in weights) == 3
+    twice = labeled.unionByName(labeled)
+    vocabulary = durable(models.fit_vocabulary(twice))
+    vectors = durable(features.document_vectors(twice, vocabulary))
+    assert vectors.count() == 2 * labeled.count()
+    fitted = durable(models.train_logistic_regression(vectors, vocabulary))
+    gradient = models.logistic_regression_gradient(vectors, vocabulary, fitted).collect()
+    assert len(gradient) == fitted.count() and all(abs(r["gradient"]) < 0.01 for r in gradient)
+
+
 def test_unknown_words_still_get_a_prediction(spark):
     model = spark.createDataFrame([("good", 1.0, 2.0), (None, None, -0.5)], "term string, idf double, coefficient double")
     docs = spark.createDataFrame([("1", "good good"), ("2", "zz yy"), ("3", "a"), ("4", "")], "id string, cleaned_text string")
-    rows = {r["id"]: r for r in models.predict_sentiment(docs, model, 1).collect()}
+    rows = {r["id"]: r for r in models.predict_sentiment(docs, model).collect()}
     assert [rows[i]["predicted_label"] for i in "1234"] == [1, 0, 0, 0]
     assert rows["1"]["prob_positive"] == pytest.approx(1 / (1 + math.exp(-1.5)))
     assert rows["2"]["prob_positive"] == pytest.approx(1 / (1 + math.exp(0.5)))
@@ -129,21 +147,21 @@ def test_unknown_words_still_get_a_prediction(spark):
 def test_kept_columns_ride_along(spark):
     model = spark.createDataFrame([("good", 1.0, 2.0), (None, None, 0.0)], "term string, idf double, coefficient double")
     docs = spark.createDataFrame([("1", "good", "jobs"), ("2", "", None)], "id string, cleaned_text string, subreddit string")
-    out = models.predict_sentiment(docs, model, 1, keep=("subreddit",))
+    out = models.predict_sentiment(docs, model, keep=("subreddit",))
     assert [(r["id"], r["subreddit"], r["predicted_sentiment"]) for r in out.orderBy("id").collect()] == [
         ("1", "jobs", "positive"), ("2", None, "negative"),
     ]
-    wide = models.attach_predictions(docs, models.predict_sentiment(docs, model, 1))
+    wide = models.attach_predictions(docs, models.predict_sentiment(docs, model))
     assert wide.count() == 2 and "cleaned_text" in wide.columns
 
 
 def test_logistic_regression_minimises_its_objective(spark, labeled):
     """Moving any coefficient of the fitted model must not lower the stated objective."""
     vocabulary = models.fit_vocabulary(labeled, 6)
-    vectors = features.document_vectors(labeled, vocabulary, 6)
+    vectors = features.document_vectors(labeled, vocabulary)
     assert vectors.count() == labeled.count()
     model = {r["term"]: r["coefficient"] for r in models.train_logistic_regression(vectors, vocabulary).collect()}
-    weights = features.tfidf_weights(features.term_counts(labeled), vocabulary, 6).collect()
+    weights = features.tfidf_weights(features.term_counts(labeled), vocabulary).collect()
     docs = {i: ({}, 1 if label else -1) for i, label, _ in corpus()}
     for r in weights:
         docs[r["id"]][0][r["term"]] = r["weight"]
