@@ -32,7 +32,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     )
     while True:
         both = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = _tied_to_least(both).filter(F.col("other") > F.col("node")).select(F.col("other").alias("node"), F.col("least").alias("other"))
+        large = _tied_to_least(both).filter(F.col("other") > F.col("node"))
+        large = large.select(F.col("other").alias("node"), F.col("least").alias("other"))
         large = durable(large.filter(F.col("node") != F.col("other")).distinct())
         tied = _tied_to_least(large)
         small = tied.select(F.col("other").alias("node"), F.col("least").alias("other")).unionByName(

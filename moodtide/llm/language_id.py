@@ -148,7 +148,8 @@ def _sample(docs: DataFrame, text: str, label: str, key: str, limit: int) -> lis
 
     found = map_batches(chosen.limit(2 * limit), features, "lang string, buckets array<int>, counts array<int>").toPandas()
     rows = zip(found["lang"], found["buckets"], found["counts"])
-    return sorted(((a, np.asarray(b, np.int64), np.asarray(c, np.float64)) for a, b, c in rows), key=lambda r: (r[0], len(r[1]), r[2].sum(), r[1].sum()))
+    arrays = ((a, np.asarray(b, np.int64), np.asarray(c, np.float64)) for a, b, c in rows)
+    return sorted(arrays, key=lambda r: (r[0], len(r[1]), r[2].sum(), r[1].sum()))  # an order of their own
 
 
 def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, settings: Ftrl, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:

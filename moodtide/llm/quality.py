@@ -56,7 +56,7 @@ RULES = (
     Rule(2, "short_words", "word_chars < 2 * n_words"),
     Rule(3, "long_words", "word_chars > 20 * n_words"),
     Rule(4, "many_symbols", "10 * n_symbols > n_words"),
-    Rule(5, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(5, "repeated_lines", "n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines"),
 )
 #: The rules that every policy must contain.
 BASE = Policy("base", ("too_few_words", "repeated_windows"))

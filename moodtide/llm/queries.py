@@ -61,7 +61,7 @@ m AS (
 v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > n_words
-    OR 10 * n_dup_lines > 3 * n_lines) AS kept
+    OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)) AS kept
 FROM v"""
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from moodtide.llm.bpe import PATTERN, Vocabulary, default_vocabulary
 from moodtide.llm.common import map_batches, slices, texts_of
 from moodtide.session import qualified
+from moodtide.sources.files import arrow_file_system
 
 END_OF_DOCUMENT = 2
 _MAGIC = b"TOKIDX01"
@@ -128,15 +129,6 @@ def read_index(data: bytes) -> tuple[int, int, EliasFano, list[int | None]]:
     return id_bytes, n_ids, code, [None if m else int(d) for d, m in zip(doc_ids, missing)]
 
 
-def file_system(uri: str):
-    """Arrow's file system and path of a URI; used on executors, so the folder must be a shared one."""
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     """Rank-table encoder with the ids of the vocabulary file: the same tokens, several times as fast."""
@@ -170,10 +162,12 @@ def write_token_files(
     root = qualified(spark, path)
     source = vocabulary or default_vocabulary()
 
+    rows_written = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, width = _tokenizer(source), _id_bytes(source)
         kind = "<u2" if width == 2 else "<u4"
-        system, folder = file_system(root)
+        system, folder = arrow_file_system(root)
         name, out = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}", None
         keys: list[int | None] = []
         sizes: list[int] = []
@@ -192,7 +186,7 @@ def write_token_files(
             with system.open_output_stream(f"{folder}/{name}.idx", compression=None) as index:
                 write_index(index, width, int(ends[-1]), keys, ends)
             row = {"shard": TaskContext.get().partitionId(), "file": name, "n_docs": len(keys), "n_ids": int(ends[-1])}
-            yield pa.RecordBatch.from_pylist([row], pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            yield pa.RecordBatch.from_pylist([row], rows_written)
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
@@ -219,7 +213,7 @@ def read_token_files(spark: SparkSession, path: str, docs_at_a_time: int = 4096)
     manifest = read_manifest(spark, root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, folder = file_system(root)
+        system, folder = arrow_file_system(root)
         for batch in batches:
             for shard in batch.to_pylist():
                 with system.open_input_stream(f"{folder}/{shard['file']}.idx", compression=None) as file:

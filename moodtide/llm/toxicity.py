@@ -1,10 +1,11 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries (word beginnings and whole words that are far more frequent in toxic documents),
-each at several levels of frequency, and surface patterns. A generative label model estimates, by expectation maximisation, how often each voter
-fires on toxic and on clean documents, and from the voters' remaining correlations how much its vote is
-worth beside the others'. A linear classifier is trained on the posterior labels. Training sees a bounded
-sample of labelled documents; scoring is map-only and finds all entries in one pass over a text.
+each at several levels of frequency, and surface patterns. A generative label model estimates, by
+expectation maximisation, how often each voter fires on toxic and on clean documents, and from the voters'
+remaining correlations how much its vote is worth beside the others'. A linear classifier is trained on
+the posterior labels. Training sees a bounded sample of labelled documents; scoring is map-only and finds
+all entries in one pass over a text.
 """
 
 from __future__ import annotations
