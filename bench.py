@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from moodtide.catalog.queries import QUERIES
+from moodtide.session import SCAN_PARTITIONS
 
 HEADLINE = (
     "scan_jsonl", "scan_zst", "scan_csv_with_header", "reject_reason_waterfall", "standardize_record",
@@ -37,7 +38,9 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("moodtide-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config(SCAN_PARTITIONS, cpus)  # the documents are one row group, hence one split
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -9,7 +9,7 @@ from moodtide.config import Period, Study, Topic
 from moodtide.operators.measures import measured
 from moodtide.operators.posts import build_final_text, keep_with_cleaned_text, with_cleaned_text
 from moodtide.operators.tagging import add_time_columns, add_topic_columns, label_to_sentiment
-from moodtide.session import prepare_session, qualified, scratch_path
+from moodtide.session import prepare_session, qualified, scratch_path, spread
 from moodtide.sources.files import arrow_file_system
 
 STUDY = Study(
@@ -74,7 +74,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The named columns of the documents."""
-    return table(spark, sf_dir, "documents").select(*columns)
+    return spread(table(spark, sf_dir, "documents").select(*columns))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,9 @@ from moodtide.operators.measures import (
 from moodtide.operators.sentiment import summary_columns
 
 
+# The hypothesis names, statements, status words and notes below are those of the result tables.
+
+
 def _flag(topic: str):
     return F.col(topic_column(topic)) == 1
 

@@ -169,7 +169,9 @@ def dedup_by_id(posts: DataFrame, order_by: tuple[str, ...] | None = None) -> Da
     "First" is file order where the scan recorded it, else time and then row content, so the
     choice does not depend on how the data was split. Expressed as a minimum, not a window: each
     task reduces its own copies before the shuffle, so an id (or the missing id) holding a large
-    share of all rows reaches the reducer as one row per task.
+    share of all rows reaches the reducer as one row per task. Choosing on narrow columns first and
+    dropping the others by an anti-join on a row number was measured at a third of the speed, as it
+    writes all posts once more.
     """
     require_columns(posts, ("id",))
     if order_by is None:

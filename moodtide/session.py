@@ -98,10 +98,15 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(hadoop).toString()
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Deal the rows of a scan out over ``partitions`` tasks; as scanned if that is None.
+#: Setting: the number of tasks over which ``spread`` deals out a scan. Unset, it leaves scans as they are.
+SCAN_PARTITIONS = "spark.moodtide.scanPartitions"
 
-    For text work over files with fewer splits than the cluster has cores, such as one compressed
-    file. Ask for it where the files are known; it moves the rows once.
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan dealt out over as many tasks as ``SCAN_PARTITIONS`` says, as scanned if it is unset.
+
+    For text work over files known to have fewer splits than the cluster has cores, such as one compressed
+    file or one row group; it moves the rows once. It does not look at the data or the cluster.
     """
-    return df if partitions is None else df.repartition(partitions)
+    partitions = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df
