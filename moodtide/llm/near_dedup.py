@@ -8,12 +8,13 @@ they agree in far more than ``MATCHES`` coordinates. So
   other pairs, before anything is compared;
 * prefix: of the m pairs that a set shares with others, any partner must be under one of the m - MATCHES + 1
   rarest, so only these posting lists are merged;
-* merge: collisions are counted within a list, on whole signatures, and a pair of sets is passed on only
-  when it has MATCHES of them; it is then confirmed on the full sets.
+* merge: collisions are counted within a list, on whole signatures; sets that have MATCHES of them with a set
+  of another component are brought together and confirmed on the full sets.
 
-Lists are merged twice. First every set is compared with the first of its lists; in a group of copies this
-links nearly all to one set. Then only sets that are not yet in one component are compared, in blocks, and
-all of them, so that no link between components is lost. Groups are never expanded into all pairs.
+Sets meet in cells of bounded size, and inside a cell only sets that are not yet in one component are
+compared, so a group of copies costs about one comparison each. First every set meets others of one of its
+lists; this ties nearly all copies together. Then lists that still hold several components are merged, long
+ones as pairs of blocks. Only links leave a cell, never pairs that are not links.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from moodtide.session import durable
 SHINGLE, SIMILARITY = 5, 80
 #: Two sets of similarity 0.8 agree in fewer than 36 of 64 coordinates about once in 500,000 times.
 COORDINATES, MATCHES = 64, 36
-#: Sets of a list that are compared with each other in one task; longer lists are cut into pairs of blocks.
-BLOCK = 1024
+#: Sets of a block; lists with more are cut into blocks, and each pair of blocks is a cell.
+BLOCK = 512
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TEXT_BYTES = 4 << 20
 
@@ -151,6 +152,15 @@ def _token(coordinate: Column, value: Column) -> Column:
     return F.shiftleft(coordinate.cast("long"), 32).bitwiseOR(value.cast("long").bitwiseAND(0xFFFFFFFF))
 
 
+def _blocks(n: Column) -> Column:
+    """How many blocks a list of ``n`` sets is cut into."""
+    return F.ceil(n / BLOCK).cast("int")
+
+
+def _block_of(blocks: str) -> Column:
+    return F.pmod(F.hash("nid"), F.col(blocks))
+
+
 def prefix_postings(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
     """(token, nid, posted): the lists that must be merged. ``posted`` has a bit for each coordinate under
     which the set is posted."""
@@ -163,76 +173,102 @@ def prefix_postings(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
     return durable(kept.select("nid", bits.alias("posted"), F.explode("tokens").alias("token")))
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, doc_id: str) -> DataFrame:
-    """(nid, n, signature, shingles) of the wanted sets (nid, digest, rep), computed again from one text of
-    each. A Bloom filter of the texts' ids spares the others; a text of another set is dropped by the join."""
-    ids = wanted.select(F.xxhash64("rep").alias("h"))
+def _texts_of_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, doc_id: str) -> DataFrame:
+    """(digest, text) with a text of each wanted set (digest, rep). A Bloom filter of the texts' ids spares the
+    others; texts of other sets that it passes are not asked for later."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    filled = bloom.build(ids, wanted.count())
+    filled = bloom.build(wanted.select(F.xxhash64("rep").alias("h")), wanted.count())
     listed = rows.filter(bloom.may_contain(rows, filled, F.xxhash64("doc_id"))).select("text")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # rows that repeat an id and a text
         for part in slices(batches):
-            found = [s for s in shingle_sets(texts_of(part.column(0)), size) if len(s)]
-            offsets = np.concatenate(([0], np.cumsum([len(s) for s in found], dtype=np.int64))).astype(np.int32)
-            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            digests = pa.array([hashlib.md5(s.tobytes()).digest() for s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["digest", "shingles"])
-
-    computed = map_batches(listed, sets, "digest binary, shingles array<bigint>")
-    return durable(computed.join(wanted.drop("rep"), "digest").dropDuplicates(["digest"]).drop("digest"))
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY, matches: int = MATCHES) -> DataFrame:
-    """The (a, b) pairs that agree in ``matches`` coordinates and are similar on their full sets."""
-    left = sets.select(*[F.col(c).alias(f"a_{c}") for c in sets.columns])
-    right = sets.select(*[F.col(c).alias(f"b_{c}") for c in sets.columns])
-    joined = pairs.join(left, F.col("a") == F.col("a_nid")).join(right, F.col("b") == F.col("b_nid"))
-    equal = F.size(F.filter(F.zip_with("a_signature", "b_signature", lambda x, y: x == y), lambda e: e))
-    smaller, larger = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
-    both = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    likely = joined.filter((100 * smaller >= similarity * larger) & (equal >= matches)).withColumn("both", both)
-    union = F.col("a_n_shingles") + F.col("b_n_shingles") - F.col("both")
-    return durable(likely.filter(100 * F.col("both") >= similarity * union).select("a", "b"))
-
-
-def _across(postings: DataFrame, sets: DataFrame, roots: DataFrame, matches: int) -> DataFrame:
-    """The pairs of sets of different components that agree in ``matches`` coordinates, each pair once: from
-    the first coordinate in which they agree and under which both are posted."""
-    placed = durable(postings.join(roots, F.col("nid") == F.col("node"), "left").select("token", "nid", "posted", F.coalesce("root", "nid").alias("root")))
-    lists = placed.groupBy("token").agg(
+            texts = texts_of(part.column(0))
+            found = [hashlib.md5(s.tobytes()).digest() for s in shingle_sets(texts, size)]
+            new = [i for i, d in enumerate(found) if d not in seen and not seen.add(d)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([found[i] for i in new], pa.binary()), part.column(0).take(pa.array(new, pa.int64()))], names=["digest", "text"]
+            )
+
+    return durable(map_batches(listed, digests, "digest binary, text string"))
+
+
+def links_within(cells: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Links (a, b) between sets of one cell that are similar on their full sets.
+
+    ``cells`` has (key, i, j, block, nid, root): a cell is a key and two blocks; if these differ, only sets of
+    different blocks are compared. Sets of one root, or tied together by links of the cell, are not compared
+    again. The texts travel, as they are smaller than the sets; the cell makes the sets.
+    """
+    rows = cells.join(nodes.select("nid", "digest"), "nid").join(texts, "digest").drop("digest")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _runs(batches):
+            cell = cell.drop_duplicates("nid")
+            a, b = _cell_links(cell, shingle_sets(cell["text"].tolist(), size), similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return durable(map_batches(dealt.select("key", "i", "j", "block", "nid", "root", "text"), confirm, "a bigint, b bigint"))
+
+
+def _first_cells(postings: DataFrame) -> DataFrame:
+    """Every posted set once, in a cell of the first set of one of its lists, which is in all its cells."""
+    first = durable(postings.groupBy("token").agg(F.min("nid").alias("key")))
+    chosen = durable(postings.join(first, "token").groupBy("nid").agg(F.min("key").alias("key")))
+    sizes = durable(chosen.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", _blocks(F.col("n")).alias("blocks")))
+    members = chosen.filter(F.col("nid") != F.col("key")).join(sizes, "key").withColumn("block", _block_of("blocks"))
+    first_sets = sizes.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("key").alias("nid"))
+    both = members.select("key", "block", "nid").unionByName(first_sets)
+    return both.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "nid", F.col("nid").alias("root"))
+
+
+def _open_cells(postings: DataFrame, nodes: DataFrame, roots: DataFrame, matches: int) -> DataFrame:
+    """The cells in which sets of different components agree in ``matches`` coordinates, with these sets only.
+
+    A pair of sets counts in one list: that of the first coordinate in which they agree and under which both
+    are posted.
+    """
+    placed = durable(
+        postings.join(roots, F.col("nid") == F.col("node"), "left").select(
+            F.col("token").alias("key"), "nid", "posted", F.coalesce("root", "nid").alias("root")
+        )
+    )
+    lists = placed.groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
     ).filter(F.col("low") != F.col("high"))
-    lists = durable(lists.select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    rows = placed.join(lists, "token").withColumn("block", F.pmod(F.hash("nid"), F.col("blocks")))
-    rows = rows.join(sets.select("nid", "signature"), "nid")
+    lists = durable(lists.select("key", _blocks(F.col("n")).alias("blocks")))
+    rows = placed.join(lists, "key").withColumn("block", _block_of("blocks"))
+    rows = rows.join(nodes.select("nid", "signature"), "nid")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = rows.select("token", "block", "nid", "posted", "root", "signature", other).select(
-        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "nid", "posted",
-        "root", "signature",
+    cells = rows.select("key", "block", "nid", "posted", "root", "signature", other).select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "nid", "root",
+        "posted", "signature",
     )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _runs(batches):
-            a, b = _cell_pairs(cell, matches)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            found = _agreeing(cell, matches)
+            if len(found):
+                kept = cell.iloc[found][["key", "i", "j", "block", "nid", "root"]]
+                yield pa.RecordBatch.from_pandas(kept, preserve_index=False)
 
-    dealt = cells.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return durable(map_batches(dealt, merge, "a bigint, b bigint"))
+    dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return durable(map_batches(dealt, merge, "key bigint, i int, j int, block int, nid bigint, root bigint"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-    """The rows of one (token, i, j) after the other, from sorted batches."""
+    """The rows of one (key, i, j) after the other, from sorted batches."""
     held: list[pd.DataFrame] = []
     for batch in batches:
         frame = batch.to_pandas()
-        key = frame[["token", "i", "j"]].to_numpy()
+        key = frame[["key", "i", "j"]].to_numpy()
         cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(frame)]))
         for start, stop in zip(cuts, cuts[1:]):
             if start == stop:
                 continue
-            if held and (held[-1][["token", "i", "j"]].iloc[-1].to_numpy() != key[start]).any():
+            if held and (held[-1][["key", "i", "j"]].iloc[-1].to_numpy() != key[start]).any():
                 yield pd.concat(held) if len(held) > 1 else held[0]
                 held = []
             held.append(frame.iloc[start:stop])
@@ -240,31 +276,71 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def _cell_pairs(cell: pd.DataFrame, matches: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one cell: all of a block with itself, or of one block with another."""
-    block, root, nid = cell["block"].to_numpy(), cell["root"].to_numpy(), cell["nid"].to_numpy()
+def _partners(cell: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of the cell's first block with the rows it may be compared with."""
+    block, i, j = cell["block"].to_numpy(), int(cell["i"].iloc[0]), int(cell["j"].iloc[0])
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    for n, at in enumerate(left):
+        yield at, right[n + 1 :] if i == j else right
+
+
+def _agreeing(cell: pd.DataFrame, matches: int) -> np.ndarray:
+    """The rows that agree with one of another root in ``matches`` coordinates, counted in this list."""
+    root = cell["root"].to_numpy()
     if (root == root[0]).all():
-        return nid[:0], nid[:0]
+        return np.zeros(0, np.int64)
     signatures, posted = np.stack(cell["signature"].to_numpy()), cell["posted"].to_numpy().astype(np.uint64)
-    i, j, coordinate = int(cell["i"].iloc[0]), int(cell["j"].iloc[0]), int(cell["token"].iloc[0]) >> 32
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    found_a, found_b = [], []
-    for at in left:
-        if i == j:
-            right = right[1:]
-        others = right[root[right] != root[at]]
-        if not len(others):
-            continue
+    coordinate, agree = int(cell["key"].iloc[0]) >> 32, np.zeros(len(cell), bool)
+    bits = np.arange(COORDINATES, dtype=np.uint64)
+    for at, others in _partners(cell):
+        others = others[root[others] != root[at]]
         equal = signatures[others] == signatures[at]
         enough = equal.sum(axis=1) >= matches
         others, equal = others[enough], equal[enough]
+        if len(others):
+            under_both = (posted[others] & posted[at])[:, None] >> bits & np.uint64(1) != 0
+            others = others[(equal & under_both).argmax(axis=1) == coordinate]
+            agree[others] = True
+            agree[at] |= len(others) > 0
+    return np.flatnonzero(agree)
+
+
+def _bit_rows(sets: list[np.ndarray]) -> np.ndarray:
+    """The sets as rows of bits, over the shingles that two or more of them have."""
+    sizes = np.array([len(s) for s in sets])
+    _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    dense = np.cumsum(counts > 1) - 1
+    shared = counts[place] > 1
+    row, bit = np.repeat(np.arange(len(sets)), sizes)[shared], dense[place][shared]
+    words = int(dense[-1]) // 64 + 1
+    rows = np.zeros((len(sets), words), np.uint64)
+    if len(bit):
+        at = row * words + bit // 64
+        order = np.argsort(at, kind="stable")
+        at, value = at[order], (np.uint64(1) << (bit % 64).astype(np.uint64))[order]
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
+        rows.ravel()[at[starts]] = np.bitwise_or.reduceat(value, starts)
+    return rows
+
+
+def _cell_links(cell: pd.DataFrame, sets: list[np.ndarray], similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one cell; sets that are tied together already are not compared."""
+    nid, tied = cell["nid"].to_numpy(), cell["root"].to_numpy().copy()
+    if len(sets) < 2 or (tied == tied[0]).all():
+        return nid[:0], nid[:0]
+    sizes, rows = np.array([len(s) for s in sets]), _bit_rows(sets)
+    found_a, found_b = [], []
+    for at, others in _partners(cell):
+        smaller, larger = np.minimum(sizes[others], sizes[at]), np.maximum(sizes[others], sizes[at])
+        others = others[(tied[others] != tied[at]) & (100 * smaller >= similarity * larger)]
         if not len(others):
             continue
-        under_both = (posted[others] & posted[at])[:, None] >> np.arange(COORDINATES, dtype=np.uint64) & np.uint64(1) != 0
-        first = (equal & under_both).argmax(axis=1)
-        others = others[first == coordinate]
-        found_a.append(np.minimum(nid[others], nid[at]))
-        found_b.append(np.maximum(nid[others], nid[at]))
+        both = np.bitwise_count(rows[others] & rows[at]).sum(axis=1, dtype=np.int64)
+        others = others[100 * both >= similarity * (sizes[others] + sizes[at] - both)]
+        if len(others):
+            tied[np.isin(tied, tied[others])] = tied[at]
+            found_a.append(np.full(len(others), nid[at]))
+            found_b.append(nid[others])
     if not found_a:
         return nid[:0], nid[:0]
     return np.concatenate(found_a), np.concatenate(found_b)
@@ -292,12 +368,11 @@ def near_duplicates(
         ).withColumn("nid", F.monotonically_increasing_id())
     )
     postings = prefix_postings(nodes)
-    posted = postings.select("nid").distinct()
-    sets = _full_sets(docs, nodes.join(posted, "nid", "left_semi"), size, text, doc_id)
-    first = durable(postings.groupBy("token").agg(F.min("nid").alias("a"), F.max("nid").alias("top")).filter(F.col("a") != F.col("top")).drop("top"))
-    stars = postings.join(first, "token").filter(F.col("a") != F.col("nid")).select("a", F.col("nid").alias("b")).distinct()
-    links = confirmed(durable(stars), sets, similarity)
-    more = confirmed(_across(postings, sets, durable(connected_components(links)), MATCHES), sets, similarity)
+    posted = nodes.join(postings.select("nid").distinct(), "nid", "left_semi").select("digest", "rep")
+    texts = _texts_of_sets(docs, posted, size, text, doc_id)
+    links = links_within(_first_cells(postings), nodes, texts, size, similarity)
+    cells = _open_cells(postings, nodes, durable(connected_components(links)), MATCHES)
+    more = links_within(cells, nodes, texts, size, similarity)
     roots = durable(connected_components(links.unionByName(more)))
     placed = nodes.join(roots, F.col("nid") == F.col("node"), "left").select("digest", "rep", F.coalesce("root", "nid").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
