@@ -1,20 +1,23 @@
 """Near-duplicate detection by a signature-coordinate inverted join.
 
-Every distinct shingle set has a MinHash signature of ``COORDINATES`` values. Sets are posted under each
-(coordinate, value) pair. Two sets are linked if their Jaccard similarity is at least ``SIMILARITY``; then
-they agree in far more than ``MATCHES`` coordinates. So
-
-* skip: pairs that only one set has are dropped, and with them every set that has fewer than ``MATCHES``
-  other pairs, before anything is compared;
-* prefix: of the m pairs that a set shares with others, any partner must be under one of the m - MATCHES + 1
+Every distinct shingle set has a signature of ``COORDINATES`` coordinates. The value of a coordinate is a
+pair of MinHash values, so two sets of similarity s agree in it with probability s^2: similar sets in most,
+others, which share only frequent shingles, in very few. Sets are posted under each (coordinate, value).
+Two sets are linked if their Jaccard similarity is at least ``SIMILARITY``; then they agree in far more than
+``MATCHES`` coordinates and ``HALF_MATCHES`` of the MinHash values. So
+
+* skip: values that only one set has are dropped, and with them every set that has fewer than ``MATCHES``
+  others, before anything is compared;
+* prefix: of the m values that a set shares with others, any partner must be under one of the m - MATCHES + 1
   rarest, so only these posting lists are merged;
-* merge: collisions are counted within a list, on whole signatures; sets that have MATCHES of them with a set
+* merge: collisions are counted within a list, on whole signatures; sets that have enough of them with a set
   of another component are brought together and confirmed on the full sets.
 
 Sets meet in cells of bounded size, and inside a cell only sets that are not yet in one component are
 compared, so a group of copies costs about one comparison each. First every set meets others of one of its
 lists; this ties nearly all copies together. Then lists that still hold several components are merged, long
-ones as pairs of blocks. Only links leave a cell, never pairs that are not links.
+ones as pairs of blocks. Only links leave a cell, never pairs that are not links, and only texts of sets
+with enough collisions travel to one.
 """
 
 from __future__ import annotations
@@ -36,8 +39,11 @@ from moodtide.session import durable
 
 #: Words of a shingle, and the similarity, in percent, from which sets are linked.
 SHINGLE, SIMILARITY = 5, 80
-#: Two sets of similarity 0.8 agree in fewer than 36 of 64 coordinates about once in 500,000 times.
-COORDINATES, MATCHES = 64, 36
+#: Two sets of similarity 0.8 agree in fewer than 7 of 32 coordinates, or in fewer than 35 of the 64 MinHash
+#: values, about once in a million times each.
+COORDINATES, MATCHES, HALF_MATCHES = 32, 7, 35
+#: Bits of a token that hold the value of its coordinate.
+_VALUE_BITS = 56
 #: Sets of a block; lists with more are cut into blocks, and each pair of blocks is a cell.
 BLOCK = 512
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -114,14 +120,14 @@ def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
 
 @lru_cache(maxsize=1)
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    numbers = np.random.default_rng(20240501).integers(1, 1 << 63, (2, COORDINATES, 1)).astype(np.uint64)
+    numbers = np.random.default_rng(20240501).integers(1, 1 << 63, (2, 2 * COORDINATES, 1)).astype(np.uint64)
     return numbers[0] | np.uint64(1), numbers[1]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The least 32-bit value of the set under each of the hash functions."""
+    """The least 32-bit value of the set under each of the hash functions; two make a coordinate."""
     a, b = _permutations()
-    least = np.full(COORDINATES, 0xFFFFFFFF, np.uint64)
+    least = np.full(2 * COORDINATES, 0xFFFFFFFF, np.uint64)
     for i in range(0, len(shingles), 4096):
         values = (a * shingles[None, i : i + 4096] + b) >> np.uint64(32)
         np.minimum(least, values.min(axis=1), out=least)
@@ -148,8 +154,14 @@ def sketches(docs: DataFrame, size: int = SHINGLE, text: str = "text", doc_id: s
     return map_batches(rows, sketch, "doc_id bigint, n_shingles bigint, digest binary, signature array<int>")
 
 
-def _token(coordinate: Column, value: Column) -> Column:
-    return F.shiftleft(coordinate.cast("long"), 32).bitwiseOR(value.cast("long").bitwiseAND(0xFFFFFFFF))
+def _tokens(signature: str) -> Column:
+    """The (coordinate, value) of each coordinate as one long."""
+
+    def token(i: Column) -> Column:
+        value = F.xxhash64(F.get(signature, 2 * i), F.get(signature, 2 * i + 1)).bitwiseAND((1 << _VALUE_BITS) - 1)
+        return F.shiftleft(i.cast("long"), _VALUE_BITS).bitwiseOR(value)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), token)
 
 
 def _blocks(n: Column) -> Column:
@@ -164,12 +176,16 @@ def _block_of(blocks: str) -> Column:
 def prefix_postings(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
     """(token, nid, posted): the lists that must be merged. ``posted`` has a bit for each coordinate under
     which the set is posted."""
-    tokens = nodes.select("nid", F.posexplode("signature").alias("at", "value")).select("nid", _token(F.col("at"), F.col("value")).alias("token"))
+    tokens = nodes.select("nid", F.explode(_tokens("signature")).alias("token"))
     shared = durable(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1))
     listed = tokens.join(shared, "token").groupBy("nid").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
     rarest = F.transform(F.slice("found", 1, F.size("found") - (matches - 1)), lambda s: s["token"])
     kept = listed.filter(F.size("found") >= matches).select("nid", rarest.alias("tokens"))
-    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 32).cast("int"))))
+
+    def bit(token: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(token, _VALUE_BITS).cast("int"))
+
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda found, t: found.bitwiseOR(bit(t)))
     return durable(kept.select("nid", bits.alias("posted"), F.explode("tokens").alias("token")))
 
 
@@ -193,14 +209,16 @@ def _texts_of_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, doc
     return durable(map_batches(listed, digests, "digest binary, text string"))
 
 
-def links_within(cells: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
+def links_within(cells: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: int, text: str, doc_id: str) -> DataFrame:
     """Links (a, b) between sets of one cell that are similar on their full sets.
 
     ``cells`` has (key, i, j, block, nid, root): a cell is a key and two blocks; if these differ, only sets of
     different blocks are compared. Sets of one root, or tied together by links of the cell, are not compared
     again. The texts travel, as they are smaller than the sets; the cell makes the sets.
     """
-    rows = cells.join(nodes.select("nid", "digest"), "nid").join(texts, "digest").drop("digest")
+    wanted = durable(nodes.join(cells.select("nid").distinct(), "nid", "left_semi").select("nid", "digest", "rep"))
+    texts = _texts_of_sets(docs, wanted, size, text, doc_id)
+    rows = cells.join(wanted.select("nid", "digest"), "nid").join(texts, "digest").drop("digest")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _runs(batches):
@@ -213,15 +231,22 @@ def links_within(cells: DataFrame, nodes: DataFrame, texts: DataFrame, size: int
     return durable(map_batches(dealt.select("key", "i", "j", "block", "nid", "root", "text"), confirm, "a bigint, b bigint"))
 
 
-def _first_cells(postings: DataFrame) -> DataFrame:
-    """Every posted set once, in a cell of the first set of one of its lists, which is in all its cells."""
+def _first_cells(postings: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
+    """Every posted set once, in a cell of the first set of one of its lists, which is in all its cells; of
+    these, the sets that agree with another one of their cell."""
     first = durable(postings.groupBy("token").agg(F.min("nid").alias("key")))
     chosen = durable(postings.join(first, "token").groupBy("nid").agg(F.min("key").alias("key")))
-    sizes = durable(chosen.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", _blocks(F.col("n")).alias("blocks")))
+    counted = chosen.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("low"), F.max("nid").alias("high"))
+    several = counted.filter((F.col("low") != F.col("key")) | (F.col("high") != F.col("key")))
+    sizes = durable(several.select("key", _blocks(F.col("n")).alias("blocks")))
     members = chosen.filter(F.col("nid") != F.col("key")).join(sizes, "key").withColumn("block", _block_of("blocks"))
     first_sets = sizes.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("key").alias("nid"))
     both = members.select("key", "block", "nid").unionByName(first_sets)
-    return both.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "nid", F.col("nid").alias("root"))
+    cells = both.join(nodes.select("nid", "signature"), "nid").select(
+        "key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "nid", F.col("nid").alias("root"),
+        F.lit(0).cast("long").alias("posted"), "signature",
+    )
+    return _merged(cells, matches, once=False)
 
 
 def _open_cells(postings: DataFrame, nodes: DataFrame, roots: DataFrame, matches: int) -> DataFrame:
@@ -246,10 +271,15 @@ def _open_cells(postings: DataFrame, nodes: DataFrame, roots: DataFrame, matches
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "nid", "root",
         "posted", "signature",
     )
+    return _merged(cells, matches, once=True)
+
+
+def _merged(cells: DataFrame, matches: int, once: bool) -> DataFrame:
+    """The rows of the cells that agree with another row of theirs; with ``once``, counted in one list only."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _runs(batches):
-            found = _agreeing(cell, matches)
+            found = _agreeing(cell, matches, once)
             if len(found):
                 kept = cell.iloc[found][["key", "i", "j", "block", "nid", "root"]]
                 yield pa.RecordBatch.from_pandas(kept, preserve_index=False)
@@ -284,22 +314,26 @@ def _partners(cell: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
         yield at, right[n + 1 :] if i == j else right
 
 
-def _agreeing(cell: pd.DataFrame, matches: int) -> np.ndarray:
-    """The rows that agree with one of another root in ``matches`` coordinates, counted in this list."""
+def _agreeing(cell: pd.DataFrame, matches: int, once: bool) -> np.ndarray:
+    """The rows that agree with one of another root in enough coordinates. With ``once``, a pair counts in the
+    list of the first coordinate in which both agree and are posted."""
     root = cell["root"].to_numpy()
     if (root == root[0]).all():
         return np.zeros(0, np.int64)
     signatures, posted = np.stack(cell["signature"].to_numpy()), cell["posted"].to_numpy().astype(np.uint64)
-    coordinate, agree = int(cell["key"].iloc[0]) >> 32, np.zeros(len(cell), bool)
+    coordinate, agree = int(cell["key"].iloc[0]) >> _VALUE_BITS, np.zeros(len(cell), bool)
     bits = np.arange(COORDINATES, dtype=np.uint64)
     for at, others in _partners(cell):
         others = others[root[others] != root[at]]
         equal = signatures[others] == signatures[at]
+        enough = equal.sum(axis=1) >= HALF_MATCHES
+        others, equal = others[enough], equal[enough].reshape(-1, COORDINATES, 2).all(axis=2)
         enough = equal.sum(axis=1) >= matches
         others, equal = others[enough], equal[enough]
         if len(others):
-            under_both = (posted[others] & posted[at])[:, None] >> bits & np.uint64(1) != 0
-            others = others[(equal & under_both).argmax(axis=1) == coordinate]
+            if once:
+                under_both = (posted[others] & posted[at])[:, None] >> bits & np.uint64(1) != 0
+                others = others[(equal & under_both).argmax(axis=1) == coordinate]
             agree[others] = True
             agree[at] |= len(others) > 0
     return np.flatnonzero(agree)
@@ -368,11 +402,9 @@ def near_duplicates(
         ).withColumn("nid", F.monotonically_increasing_id())
     )
     postings = prefix_postings(nodes)
-    posted = nodes.join(postings.select("nid").distinct(), "nid", "left_semi").select("digest", "rep")
-    texts = _texts_of_sets(docs, posted, size, text, doc_id)
-    links = links_within(_first_cells(postings), nodes, texts, size, similarity)
+    links = links_within(_first_cells(postings, nodes, MATCHES), nodes, docs, size, similarity, text, doc_id)
     cells = _open_cells(postings, nodes, durable(connected_components(links)), MATCHES)
-    more = links_within(cells, nodes, texts, size, similarity)
+    more = links_within(cells, nodes, docs, size, similarity, text, doc_id)
     roots = durable(connected_components(links.unionByName(more)))
     placed = nodes.join(roots, F.col("nid") == F.col("node"), "left").select("digest", "rep", F.coalesce("root", "nid").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
