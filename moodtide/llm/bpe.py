@@ -26,10 +26,10 @@ from moodtide.llm.common import map_batches, slices, texts_of
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Words whose encodings a task remembers; when there are more, it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 _NEVER = 1 << 40
 #: Texts whose words form one trie.
-_TEXTS = 1024
+_TEXTS = 512
 
 
 def default_vocabulary() -> str:
