@@ -134,8 +134,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32).view(np.int32)
 
 
-def sketches(docs: DataFrame, size: int = SHINGLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, signature) of each whole text; without shingles, nulls."""
+def sketches(
+    docs: DataFrame, size: int = SHINGLE, text: str = "text", doc_id: str = "doc_id", extra: tuple[Column, ...] = ()
+) -> DataFrame:
+    """(doc_id, n_shingles, digest of the set, signature, extra) of each whole text; without shingles, nulls."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -145,13 +147,14 @@ def sketches(docs: DataFrame, size: int = SHINGLE, text: str = "text", doc_id: s
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(signatures, pa.list_(pa.int32())),
+                    pa.array(signatures, pa.list_(pa.int32())), *part.columns[2:],
                 ],
-                names=["doc_id", "n_shingles", "digest", "signature"],
+                names=["doc_id", "n_shingles", "digest", "signature", *part.schema.names[2:]],
             )
 
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_batches(rows, sketch, "doc_id bigint, n_shingles bigint, digest binary, signature array<int>")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *extra)
+    added = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return map_batches(rows, sketch, "doc_id bigint, n_shingles bigint, digest binary, signature array<int>" + added)
 
 
 def _tokens(signature: str) -> Column:
@@ -380,6 +383,27 @@ def _cell_links(cell: pd.DataFrame, sets: list[np.ndarray], similarity: int) ->
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
+def _grouped(
+    docs: DataFrame, size: int, similarity: int, text: str, doc_id: str, extra: tuple[Column, ...] = (), measures: tuple[Column, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and (digest, rep, measures, root) of each distinct set; sets of one root are near copies."""
+    if not 80 <= similarity <= 100:
+        raise ValueError("similarity must be between 80 and 100")
+    drawn = durable(sketches(docs, size, text, doc_id, extra))
+    nodes = durable(
+        drawn.filter(F.col("n_shingles") > 0).groupBy("digest").agg(
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), *measures
+        ).withColumn("nid", F.monotonically_increasing_id())
+    )
+    postings = prefix_postings(nodes)
+    links = links_within(_first_cells(postings, nodes, MATCHES), nodes, docs, size, similarity, text, doc_id)
+    cells = _open_cells(postings, nodes, durable(connected_components(links)), MATCHES)
+    more = links_within(cells, nodes, docs, size, similarity, text, doc_id)
+    roots = durable(connected_components(links.unionByName(more)))
+    placed = nodes.join(roots, F.col("nid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "nid"))
+    return drawn, placed.drop("n_shingles", "signature", "nid", "node")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -392,21 +416,8 @@ def near_duplicates(
     An empty table gives no rows. Other columns are ignored. ``similarity`` must be 80 or more, for which
     the number of matches is chosen.
     """
-    if not 80 <= similarity <= 100:
-        raise ValueError("similarity must be between 80 and 100")
-    drawn = durable(sketches(docs, size, text, doc_id))
+    drawn, placed = _grouped(docs, size, similarity, text, doc_id)
     some = drawn.filter(F.col("n_shingles") > 0)
-    nodes = durable(
-        some.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
-        ).withColumn("nid", F.monotonically_increasing_id())
-    )
-    postings = prefix_postings(nodes)
-    links = links_within(_first_cells(postings, nodes, MATCHES), nodes, docs, size, similarity, text, doc_id)
-    cells = _open_cells(postings, nodes, durable(connected_components(links)), MATCHES)
-    more = links_within(cells, nodes, docs, size, similarity, text, doc_id)
-    roots = durable(connected_components(links.unionByName(more)))
-    placed = nodes.join(roots, F.col("nid") == F.col("node"), "left").select("digest", "rep", F.coalesce("root", "nid").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = durable(placed.join(smallest, "root").select("digest", "component_id"))
     linked = some.join(classes, "digest").select("doc_id", "n_shingles", "component_id")
@@ -414,18 +425,47 @@ def near_duplicates(
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _listed_rows(docs: DataFrame, size: int, similarity: int, text: str, doc_id: str, text_hash: Column) -> DataFrame:
+    """(doc_id, text_hash, wins): the rows that near copies of theirs drop, and the ones that stay but are there
+    more than once. Rows with one id and one text are told apart by nothing else."""
+    no_id, row = F.col("doc_id").isNull(), F.struct("doc_id", "text_hash")
+    measures = (
+        F.min(F.when(~no_id, row)).alias("first_row"), F.min(F.when(no_id, F.col("text_hash"))).alias("first_without_id"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    drawn, placed = _grouped(docs, size, similarity, text, doc_id, (text_hash,), measures)
+    placed = durable(placed)
+    groups = placed.groupBy("root").agg(
+        F.min("first_row").alias("first_row"), F.min("first_without_id").alias("first_without_id"), F.sum("n").alias("n")
+    )
+    classes = durable(placed.select("digest", "root").join(groups.filter(F.col("n") > 1), "root").drop("root", "n"))
+    wins = F.when(no_id, F.col("text_hash") == F.col("first_without_id")).otherwise(row == F.col("first_row"))
+    judged = drawn.filter(F.col("n_shingles") > 0).join(classes, "digest").select("doc_id", "text_hash", wins.alias("wins"))
+    counted = judged.groupBy("doc_id", "text_hash").agg(F.first("wins").alias("wins"), F.count(F.lit(1)).alias("n"))
+    return durable(counted.filter(~F.col("wins") | (F.col("n") > 1)).drop("n"))
+
+
 def keep_one_per_group(
     docs: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """The documents whose row is kept, with all their columns.
+    """One row of each group of near copies, with all its columns; texts without words all stay.
+
+    Each row is judged by its own text, so rows of one id may stay and go. The row with the smallest doc_id
+    stays; of several with this id, the one whose text has the smallest MD5; of rows with one id and one
+    text, any one. Rows without an id are not dropped for one with an id; of those of a group, one stays.
 
-    Documents that a Bloom filter of the dropped ids does not pass stay where they are; only possible hits
-    are moved, to an anti-join. Rows without an id stay.
+    Rows that a Bloom filter of the listed ones does not pass stay where they are; only possible hits are
+    moved, to a join.
     """
-    verdicts = durable(near_duplicates(docs, size, similarity, text, doc_id))
-    dropped = durable(verdicts.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
-    filled = bloom.build(dropped.select(F.xxhash64("doc_id").alias("h")), dropped.count())
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("bigint").alias("doc_id"))
-    probed = rows.withColumn("listed", F.col("doc_id").isNotNull() & bloom.may_contain(rows, filled, F.xxhash64("doc_id")))
-    checked = probed.filter("listed").join(dropped, "doc_id", "left_anti")
-    return probed.filter(~F.col("listed")).select("row.*").unionByName(checked.select("row.*"))
+    text_hash = F.unhex(F.md5(F.col(text).cast("string").cast("binary"))).alias("text_hash")
+    listed = _listed_rows(docs, size, similarity, text, doc_id, text_hash)
+    key = F.xxhash64("doc_id", "text_hash")
+    filled = bloom.build(listed.select(key.alias("h")), listed.count())
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("bigint").alias("doc_id"), text_hash)
+    probed = rows.withColumn("listed", bloom.may_contain(rows, filled, key))
+    marks = listed.select(F.col("doc_id").alias("listed_id"), F.col("text_hash").alias("listed_hash"), "wins")
+    same = F.col("doc_id").eqNullSafe(F.col("listed_id")) & F.col("text_hash").eqNullSafe(F.col("listed_hash"))
+    hits = probed.filter("listed").join(marks, same, "left")
+    spared = hits.filter(F.col("wins").isNull())
+    winners = hits.filter("wins").dropDuplicates(["doc_id", "text_hash"])
+    return probed.filter(~F.col("listed")).select("row.*").unionByName(spared.select("row.*")).unionByName(winners.select("row.*"))

@@ -99,6 +99,29 @@ def test_near_dedup_keeps_one_of_each_group(plain):
     assert Counter(r["doc_id"] for r in kept.collect()) == expected
 
 
+def test_near_dedup_judges_each_row_by_its_text(spark):
+    """Repeated and missing ids: a clean text beside a near copy of one id, copies that share the smallest id, and
+    copies without any id."""
+    rng = random.Random(11)
+
+    def copies(n):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+        return [" ".join([*words[:-1], f"end{i}"]) for i in range(n)]
+
+    base, low, missing, mixed = copies(3), copies(3), copies(3), copies(4)
+    clean, twice = copies(1)[0], copies(1)[0]
+    rows = [(1, base[0]), (5, base[1]), (5, clean), (8, base[2]), (20, low[0]), (20, low[1]), (21, low[2])]
+    rows += [(None, t) for t in missing] + [(30, mixed[0]), (31, mixed[1]), (None, mixed[2]), (None, mixed[3])]
+    rows += [(40, twice)] * 3 + [(None, ""), (None, ""), (5, None)]
+    found = Counter(tuple(r) for r in near_dedup.keep_one_per_group(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect())
+    assert found <= Counter(rows)
+    expected = Counter({(1, base[0]): 1, (5, clean): 1, (30, mixed[0]): 1, (40, twice): 1, (None, ""): 2, (5, None): 1})
+    rest = found - expected
+    assert expected <= found
+    assert [sum(rest[(d, t)] for d in (None, 20, 21) for t in group) for group in (low, missing, mixed)] == [1, 1, 1]
+    assert sum(rest.values()) == 3 and (21, low[2]) not in rest
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 40)] + [(1000, 1000 + i) for i in range(300)] + [(5, 5), (None, 3)]
