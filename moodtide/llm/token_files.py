@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from moodtide.llm.bpe import PATTERN, Vocabulary, default_vocabulary
+from moodtide.llm.bpe import PATTERN, Vocabulary, default_vocabulary, encoder
 from moodtide.llm.common import map_batches, slices, texts_of
 from moodtide.session import qualified
 from moodtide.sources.files import arrow_file_system
@@ -138,6 +138,15 @@ def _tokenizer(path: str):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=vocabulary.ids, special_tokens=vocabulary.special)
 
 
+def encode_ids(text: str, path: str) -> np.ndarray:
+    """The ids of a whole text. The rank-table encoder's pattern search gives up on runs of about a million
+    white-space characters; such texts go through this package's own encoder, which gives the same ids."""
+    try:
+        return _tokenizer(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.frombuffer(encoder(path).encode_batch([text])[0], np.int32)
+
+
 def _id_bytes(path: str) -> int:
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
@@ -165,7 +174,7 @@ def write_token_files(
     rows_written = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, width = _tokenizer(source), _id_bytes(source)
+        width = _id_bytes(source)
         kind = "<u2" if width == 2 else "<u4"
         system, folder = arrow_file_system(root)
         name, out = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}", None
@@ -175,7 +184,7 @@ def write_token_files(
             if out is None:
                 system.create_dir(folder, recursive=True)
                 out = system.open_output_stream(f"{folder}/{name}.ids", compression=None, buffer_size=1 << 20)
-            found = [tool.encode_to_numpy(t, allowed_special="all") for t in texts_of(part.column(1))]
+            found = [encode_ids(t, source) for t in texts_of(part.column(1))]
             ids = np.concatenate([x for f in found for x in (f, (end_id,))]).astype(kind)
             out.write(ids.tobytes())
             sizes += [len(f) + 1 for f in found]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
 
@@ -194,6 +195,16 @@ def test_token_files_are_in_order(spark, messy, rows, shards):
     assert manifest.agg(F.sum("n_ids")).first()[0] == sum(sizes)
 
 
+@pytest.mark.parametrize("run", [" " * 1_200_000, "\n" * 1_200_000])
+def test_token_files_of_long_white_space(spark, run):
+    texts = {1: "before" + run + "after", 2: "plain text", 3: run + "<|endoftext|>"}
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), path, shards=1)
+    found = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_files.read_token_files(spark, path).collect()}
+    expected = {k: [*reference().encode(t, add_special_tokens=False).ids, 2] for k, t in texts.items()}
+    assert found == {k: (len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for k, i in expected.items()}
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for n, step in ((0, 1), (1, 5), (700, 1), (700, 2), (3000, 5000)):
