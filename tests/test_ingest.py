@@ -141,6 +141,16 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == rows
 
 
+def test_csv_null_literals_in_whole_columns(spark):
+    missing = ["", "NA", "n/a", "None", "#N/A", "nan", "<NA>", "N/A", "NULL", "NaN", "null", "#NA", "-nan"]
+    present = [" ", "na", "none", "NAN", "NA ", " n/a", "nan nan", "<na>", "a NA b", "None of them", "#N/A!", "text", "Null"]
+    rows = [(i, t, t + "x") for i, t in enumerate(missing + present)] + [(99, None, None)]
+    found = csv_io.csv_null_literals(spark.createDataFrame(rows, "id int, text string, other string")).collect()
+    kept = {i: t if t in present else None for i, t, _ in rows}
+    assert {r["id"]: r["text"] for r in found} == kept
+    assert {r["id"]: r["other"] for r in found} == {i: t for i, _, t in rows}
+
+
 def test_labeled_csv(spark, tmp_path):
     lines = ['"0","1","d","NO_QUERY","josé","bad ""day"""', '"4","2","d","q","u","good, very"', '"2","3","d","q","u","neutral"']
     (tmp_path / "l.csv").write_bytes("\n".join(lines).encode("latin-1"))
