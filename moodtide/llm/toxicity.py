@@ -196,11 +196,15 @@ def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample: int = SAMPLE
 ) -> ToxicityModel:
     """Fit a model on documents (doc_id, text) and labels (doc_id, toxic). ``sample`` bounds the documents it
-    is fitted on. Null ids and labels are left out. Without toxic or without clean documents, the model has
-    no entries and scores by the share of toxic labels alone."""
+    is fitted on; of an id that stands on several rows it has one, chosen by a hash of the text. Null ids and
+    labels are left out. Without toxic or without clean documents, the model has no entries and scores by the
+    share of toxic labels alone."""
     chosen, sizes = _chosen_labels(labels, doc_id, label, sample)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = durable(rows.join(F.broadcast(chosen), "doc_id").limit(2 * sample))  # as bounded as the sample
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")  # of the texts of an id
+    texts = durable(
+        rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(one, F.first("toxic").alias("toxic"))
+    )  # as bounded as the sample
 
     def supported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):

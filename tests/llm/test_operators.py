@@ -436,6 +436,17 @@ def test_toxicity_of_messy_rows(spark, messy, rows):
     assert toxicity.train(docs.limit(0), labels).entries == ()
 
 
+def test_toxicity_sample_with_a_hot_id(spark):
+    """A labelled id on more rows than the sample has does not push the other labelled documents out."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(["good", "day", "word", "thing", "plain"], k=20)) for _ in range(200)]
+    rows = [(1, f"hot row {i}") for i in range(2_000)] + [(i, t + (" grumbler" * 3 if i % 4 == 0 else "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, sample=400)
+    assert all((r["predicted"] == 1) == (r["doc_id"] % 4 == 0) for r in toxicity.score(docs, model).collect())
+
+
 # empty tables
 
 
