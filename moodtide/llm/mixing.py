@@ -85,7 +85,7 @@ def target_sizes(
 
 def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """One row per source: source_size, target, whole (times that every row is taken), and the cut
-    (cut_place, cut_tie, take_cut) below which rows are taken once more.
+    (cut_place, cut_tie, take_cut) below which rows are taken once more, with what rows at the cut are to add.
 
     The row at the cut is taken if that brings the sum nearer to the budget. Sources without any words
     have no cut.
@@ -116,7 +116,7 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         boundary = state.select(F.col("source").alias("cut_source"), F.col(f"cut_{key}").alias("cut"))
         here = F.shiftright(F.col(key), shift) == F.shiftright("cut", shift)
         active = durable(active.join(boundary, F.col("source").eqNullSafe(F.col("cut_source")) & here, "left_semi"))
-    cuts = state.select(F.col("source").alias("cut_source"), "cut_place", "cut_tie", "take_cut")
+    cuts = state.select(F.col("source").alias("cut_source"), "cut_place", "cut_tie", "take_cut", F.col("rest").alias("rest_at_cut"))
     joined = answer.drop("cut_place", "cut_tie", "rest").join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
     return durable(joined.drop("cut_source"))
 
@@ -174,11 +174,13 @@ def mixed_rows(
     """The documents of the mix with all their columns, each as often as it is taken.
 
     The texts are filtered where they are; only narrow columns are aggregated. Rows of one id are told
-    apart by a hash of their columns, so only fully equal rows move together.
+    apart by a hash of their columns. If the cut of a source falls on fully equal rows, the rows at the cuts
+    are written and told apart by a stored tie, so each source meets its target as in ``mix``.
     """
     tie = _tie(F.struct(*docs.columns))
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(source).alias("source"), place(doc_id).alias("place"), tie.alias("tie")
+        F.struct(*docs.columns).alias("row"), F.col(source).alias("source"), n_words(text).alias("size"),
+        place(doc_id).alias("place"), tie.alias("tie"),
     )
     sizes = durable(
         docs.select(
@@ -186,5 +188,20 @@ def mixed_rows(
         )
     )
     cuts = thresholds(sizes, target_sizes(sizes, weights, share, cap))
-    taken = _with_thresholds(rows, cuts).select("row", F.explode(F.array_repeat(F.lit(1), _times())).alias("copy"))
-    return taken.select("row.*")
+    at_cut = F.coalesce((F.col("place") == F.col("cut_place")) & (F.col("tie") == F.col("cut_tie")), F.lit(False))
+    counted = durable(
+        _with_thresholds(sizes, cuts).filter(at_cut).groupBy("source").agg(
+            F.sum("size").alias("source_size"), F.first("rest_at_cut").alias("target"), F.count(F.lit(1)).alias("n")
+        )
+    )
+    placed = _with_thresholds(rows, cuts)
+    if counted.filter("n > 1").isEmpty():
+        times = placed.select("row", _times().alias("times"))
+    else:
+        stored = _tie(F.monotonically_increasing_id()).alias("tie")
+        equal = durable(placed.filter(at_cut).select("row", "source", "size", "place", F.col("whole").alias("before"), stored))
+        again = thresholds(equal.select("source", "size", "place", "tie"), counted.drop("n"))
+        times = placed.filter(~at_cut).select("row", _times().alias("times")).unionByName(
+            _with_thresholds(equal, again).select("row", (F.col("before") + _times()).alias("times"))
+        )
+    return times.select("row", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("copy")).select("row.*")

@@ -281,6 +281,18 @@ def test_one_id_for_a_third_of_the_rows(spark):
     assert sum(r["taken"] for r in mixing.mix(docs).collect()) == 1.5 * 4500
 
 
+def test_mixed_rows_cut_a_group_of_equal_rows(spark):
+    rows = [(7, "w " * 5, "a")] * 300 + [(i, "x " * 4, "b") for i in range(100, 160)]
+    rows += [(8, "v " * 3, None)] * 100 + [(i, "u " * 3, None) for i in range(200, 220)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3)
+    targets = {r["source"]: r["target"] for r in mixing.mix(docs).collect()}
+    taken = Counter()
+    for r in mixing.mixed_rows(docs).collect():
+        taken[r["source"]] += len(WORDS(r["text"]))
+    assert all(abs(taken[s] - t) <= 2.5 for s, t in targets.items())
+    assert mixing.mixed_rows(docs.filter("source = 'a'")).count() == 450
+
+
 # 5 secrets
 
 
