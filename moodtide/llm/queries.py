@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodtide.llm import bpe, exact_dedup, language_id, mixing, near_dedup, quality, secret_scan, token_files, toxicity, url_filter
+from moodtide.llm import structure_queries  # noqa: F401 - registers its queries
 from moodtide.llm.common import id_remainder, table
+from moodtide.llm.registry import ORACLES, QUERIES, query  # noqa: F401 - ORACLES and QUERIES are read from here
 from moodtide.session import scratch_path
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
 #: Sites whose pages make up the list of URLs that op7 blocks.
 LISTED_SITES = ("ads-track", "spam-farm", "casino-win", "adult-x", "free-bets")
 
 
-def query(name: str, sql: str | None = None):
-    def register(function):
-        QUERIES[name] = function
-        if sql:
-            ORACLES[name] = sql
-        return function
-
-    return register
-
-
 def hex_sha256(text: Column | str) -> Column:
     return F.sha2((F.col(text) if isinstance(text, str) else text).cast("binary"), 256)
 
