@@ -224,18 +224,20 @@ def scan_model_artifacts(spark, sf):
     return rounded(_stored_model(spark, sf))
 
 
-_PIECE = "upper(substr(text, 2, 2))"
+#: Cells of a text column: every spelling of a missing value, some that only look like one, else the whole text.
+_CELLS = (*csv_io.NA_LITERALS, "na", "None ", " NA", "NULLS", "n/a n/a", "NAN")
+_CELL_CASES = " ".join(f"WHEN {i} THEN {o.quote(cell)}" for i, cell in enumerate(_CELLS))
 
 
 @query(
     "csv_null_literals",
-    f"""SELECT doc_id, CASE WHEN {_PIECE} NOT IN ('', 'NA', 'n/a', 'None', '#N/A', 'nan', '<NA>') THEN {_PIECE} END AS piece,
-    source FROM documents""",
+    f"""WITH cells AS (SELECT doc_id, CASE doc_id % {2 * len(_CELLS)} {_CELL_CASES} ELSE text END AS piece, source FROM documents)
+    SELECT doc_id, CASE WHEN piece NOT IN ({', '.join(map(o.quote, csv_io.NA_LITERALS))}) THEN piece END AS piece, source FROM cells""",
 )
 def csv_null_literals(spark, sf):
-    """Two letters of each text: among them is a spelling of a missing value."""
-    docs = fx.table(spark, sf, "documents")
-    return csv_io.csv_null_literals(docs.select("doc_id", F.upper(F.substring("text", 2, 2)).alias("piece"), "source"))
+    """Whole texts, and cells with every spelling among them."""
+    cells = F.expr(f"CASE doc_id % {2 * len(_CELLS)} {_CELL_CASES} ELSE text END")
+    return csv_io.csv_null_literals(fx.table(spark, sf, "documents").select("doc_id", cells.alias("piece"), "source"))
 
 
 @query(
@@ -309,6 +311,20 @@ def filter_target_groups(spark, sf):
     return ingest.filter_target_groups(fx.dirty_posts(spark, sf), STUDY.groups).select("id", "subreddit", "author")
 
 
+@query(
+    "filter_target_group_table",
+    o.dirty_sql(
+        f"SELECT id, subreddit, author FROM dirty WHERE {o.norm_key('subreddit')} IN "
+        "(SELECT lower(source) FROM documents WHERE doc_id % 3 = 0)"
+    ),
+)
+def filter_target_group_table(spark, sf):
+    """The list of groups is a table: the sources of every third document, padded and in capitals, many times each."""
+    named = fx.table(spark, sf, "documents").filter(F.col("doc_id") % 3 == 0)
+    targets = named.select(F.concat(F.lit("  "), F.upper("source"), F.lit(" ")).alias("name"))
+    return ingest.filter_target_table(fx.dirty_posts(spark, sf), targets, "name").select("id", "subreddit", "author")
+
+
 @query(
     "filter_year_range",
     o.posts_sql("SELECT id, created_utc FROM posts WHERE year(make_timestamp(created_utc * 1000000)) BETWEEN 1996 AND 2000"),

@@ -61,14 +61,15 @@ def in_target_groups(group: Column, groups: tuple[str, ...]) -> Column:
     return normalize_key(group).isin(*[g.lower() for g in groups])
 
 
-def reject_reason(study: Study) -> Column:
-    """First reason to reject the line, or ``kept``."""
+def reject_reason(study: Study, in_targets: Column | None = None) -> Column:
+    """First reason to reject the line, or ``kept``. ``in_targets`` replaces the study's own groups."""
     group = F.col("record.subreddit")
+    wanted = in_target_groups(group, study.groups) if in_targets is None else in_targets
     return (
         F.when(F.length("line") == 0, F.lit(BLANK))
         .when(F.col("keys").isNull(), F.lit(JSON_ERROR))
         .when(normalize_key(group) == "", F.lit(MISSING_GROUP))
-        .when(~in_target_groups(group, study.groups), F.lit(NOT_TARGET))
+        .when(~wanted, F.lit(NOT_TARGET))
         .when(
             ~epoch_in_years(F.col("record.created_utc"), study.year_min, study.year_max),
             F.lit(OUT_OF_RANGE),
@@ -77,12 +78,15 @@ def reject_reason(study: Study) -> Column:
     )
 
 
-def classify_lines(lines: DataFrame, study: Study) -> DataFrame:
-    """Parsed lines with their ``reject_reason`` and ``source_type``."""
+def classify_lines(lines: DataFrame, study: Study, targets: DataFrame | None = None, name: str = "subreddit") -> DataFrame:
+    """Parsed lines with their ``reject_reason`` and ``source_type``. With ``targets``, a table of any length, its
+    column ``name`` lists the groups instead of the study."""
     parsed = parse_json_record(lines)
-    return parsed.select(
-        "*",
-        reject_reason(study).alias("reject_reason"),
+    marked = parsed if targets is None else mark_targets(parsed, targets, name)
+    in_targets = None if targets is None else F.col("in_targets")
+    return marked.select(
+        *parsed.columns,
+        reject_reason(study, in_targets).alias("reject_reason"),
         detect_source_type(F.col("keys")).alias("source_type"),
     )
 
@@ -117,9 +121,9 @@ def standardize_record(parsed: DataFrame) -> DataFrame:
     )
 
 
-def keep_accepted(lines: DataFrame, study: Study) -> DataFrame:
+def keep_accepted(lines: DataFrame, study: Study, targets: DataFrame | None = None, name: str = "subreddit") -> DataFrame:
     """Standard columns of the lines that pass every check."""
-    classified = classify_lines(lines, study).filter(F.col("reject_reason") == KEPT)
+    classified = classify_lines(lines, study, targets, name).filter(F.col("reject_reason") == KEPT)
     return standardize_record(classified)
 
 
@@ -127,6 +131,26 @@ def filter_target_groups(posts: DataFrame, groups: tuple[str, ...]) -> DataFrame
     return posts.filter(in_target_groups(F.col("subreddit"), groups))
 
 
+def target_table(targets: DataFrame, name: str) -> DataFrame:
+    """The distinct normalised group names of a table, without blanks and nulls."""
+    keys = targets.select(normalize_key(F.col(name)).alias("_target"))
+    return keys.filter(F.col("_target") != "").distinct()
+
+
+def filter_target_table(posts: DataFrame, targets: DataFrame, name: str = "subreddit", group: str = "subreddit") -> DataFrame:
+    """The posts whose group is in a table of any length: a semi join. Posts of a hot group are split by Spark, as
+    the other side has each name once; a short table is broadcast, as its size is known at run time."""
+    marked = posts.withColumn("_group", normalize_key(F.col(group)))
+    return marked.join(target_table(targets, name), F.col("_group") == F.col("_target"), "left_semi").drop("_group")
+
+
+def mark_targets(parsed: DataFrame, targets: DataFrame, name: str = "subreddit") -> DataFrame:
+    """Parsed lines with ``in_targets``, for ``reject_reason`` with a table of groups."""
+    marked = parsed.withColumn("_group", normalize_key(F.col("record.subreddit")))
+    joined = marked.join(target_table(targets, name), F.col("_group") == F.col("_target"), "left")
+    return joined.withColumn("in_targets", F.col("_target").isNotNull()).drop("_group", "_target")
+
+
 def filter_year_range(posts: DataFrame, year_min: int, year_max: int) -> DataFrame:
     data_type = dict(posts.dtypes)["created_utc"]
     return posts.filter(epoch_in_years(F.col("created_utc"), year_min, year_max, data_type))

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import dataclasses
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from moodtide.catalog import fixtures as fx
 from moodtide.config import Study
 from moodtide.operators import ingest, posts
 from moodtide.operators.guards import MissingColumnsError, require_columns
@@ -219,3 +221,20 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = ingest.keep_accepted(text_lines.scan_lines(spark, str(source)), STUDY).drop(*ingest.FILE_ORDER)
     streamed = spark.read.parquet(out)
     assert streamed.count() == 15 and streamed.exceptAll(batch).count() == 0
+
+
+def test_target_table_is_the_target_list(spark, sf_dir):
+    """A table of 100,000 names keeps what a list of them keeps, without a literal list in the plan."""
+    posts = fx.dirty_posts(spark, sf_dir)
+    names = spark.range(100_000).selectExpr("if(id < 3, concat(' SRC', id, ' '), concat('group', id)) AS name")
+    nulls = spark.createDataFrame([(None,), ("",), (" src1 ",)], "name string")
+    kept = ingest.filter_target_table(posts, names.unionByName(nulls), "name")
+    assert kept.columns == posts.columns
+    expected = ingest.filter_target_groups(posts, ("src0", "src1", "src2"))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, expected.collect())) and expected.count() > 0
+    text = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in text and "INSET" not in text and "group99" not in text
+    lines = fx.post_lines(spark, sf_dir)
+    study = dataclasses.replace(fx.STUDY, groups=("src0", "src1", "src2"))
+    found = ingest.classify_lines(lines, study, names, "name").groupBy("reject_reason").count().collect()
+    assert sorted(map(str, found)) == sorted(map(str, ingest.classify_lines(lines, study).groupBy("reject_reason").count().collect()))
