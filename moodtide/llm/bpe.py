@@ -8,6 +8,7 @@ prefix that many words share is computed once, and a word's tokens are read off
 
 from __future__ import annotations
 
+import hashlib
 import json
 from array import array
 from collections.abc import Iterable, Iterator
@@ -235,26 +236,59 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", k
     their length. Null or repeated keys give a row each; an empty table gives none. Other columns are
     ignored, and a kept column named ``ids`` is replaced.
     """
+    return _encoded(docs, vocabulary, text, keep, False)
+
+
+def encode_and_check(docs: DataFrame, vocabulary: str | None = None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``encode``, and ``decoded_sha256``: lowercase SHA-256 of the text that the ids decode to, as ``decode``
+    has it, in UTF-8. Encoding, decoding and digest are one pass over a batch, in one Python worker."""
+    return _encoded(docs, vocabulary, text, keep, True)
+
+
+def _encoded(docs: DataFrame, vocabulary: str | None, text: str, keep: tuple[str, ...], check: bool) -> DataFrame:
     path = vocabulary or default_vocabulary()
-    keep = tuple(k for k in keep if k != "ids")
+    added = ["ids", "decoded_sha256"][: 1 + check]
+    keep = tuple(k for k in keep if k not in added)
+
+    def digests(flat: pa.Array, sizes: list[int]) -> pa.Array:
+        texts = (data.decode("utf-8", "replace").encode() for data in _joined_tokens(_token_bytes(path), flat, np.array(sizes)))
+        return pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for part in slices(batches, _TEXTS):
             found = tool.encode_batch(texts_of(part.column(0)))
-            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found], dtype=np.int64))).astype(np.int32)
-            flat = np.frombuffer(b"".join(found), np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*keep, "ids"])
+            sizes = [len(x) // 4 for x in found]
+            offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(found), np.int32))
+            columns = [pa.ListArray.from_arrays(pa.array(offsets), flat)] + ([digests(flat, sizes)] if check else [])
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*keep, *added])
 
     rows = docs.select(F.col(text).cast("string").alias("_text"), *keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]), "ids array<int>"])
+    types = ["ids array<int>", "decoded_sha256 string"][: 1 + check]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]), *types])
     return map_batches(rows, run, schema)
 
 
 @lru_cache(maxsize=2)
 def _token_bytes(path: str) -> pa.Array:
-    return pa.array(Vocabulary(path).bytes_of, pa.large_binary())
+    """The bytes of each token, read from the file without its merges; a Python worker reads them once."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    letters, special = byte_letters(), {t["content"]: t["id"] for t in content["added_tokens"]}
+    found = {i: bytes(letters[c] for c in t) for t, i in content["model"]["vocab"].items() if t not in special}
+    found |= {i: t.encode() for t, i in special.items()}
+    return pa.array([found.get(i, b"") for i in range(1 + max(found))], pa.large_binary())
+
+
+def _joined_tokens(table: pa.Array, ids: pa.Array, sizes: np.ndarray) -> Iterator[bytes]:
+    """The bytes of each list of ids, given as all lists' ids and the lists' sizes."""
+    joined = table.take(ids)
+    _, offsets, values = joined.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(joined) + 1, 8 * joined.offset)
+    data = values.to_pybytes() if values is not None else b""
+    cuts = ends[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))]
+    return (data[a:b] for a, b in zip(cuts, cuts[1:]))
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -272,12 +306,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
         for part in slices(batches):
             lists = part.column(0)
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            joined = table.take(lists.flatten())
-            _, offsets, values = joined.buffers()
-            ends = np.frombuffer(offsets, np.int64, len(joined) + 1, 8 * joined.offset)
-            data = values.to_pybytes() if values is not None else b""
-            cuts = ends[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))]
-            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+            texts = [data.decode("utf-8", "replace") for data in _joined_tokens(table, lists.flatten(), sizes)]
             yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     rows = encoded.select(F.col(ids).cast("array<int>").alias("_ids"), *keep)

@@ -21,13 +21,11 @@ def hex_sha256(text: Column | str) -> Column:
 
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"))
-    digests = encoded.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+    encoded = bpe.encode_and_check(table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), "decoded_sha256",
     )
-    decoded = bpe.decode(digests, keep=("doc_id", "n_tokens", "ids_sha256"))
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", hex_sha256("decoded").alias("decoded_sha256"))
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
