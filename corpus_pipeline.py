@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from moodtide.llm import bpe, exact_dedup, mixing, near_dedup, toxicity  # noqa: E402
 from moodtide.llm.common import table  # noqa: E402
-from moodtide.llm.queries import hex_sha256, toxicity_model  # noqa: E402
+from moodtide.llm.queries import toxicity_model  # noqa: E402
 from moodtide.session import durable  # noqa: E402
 
 
@@ -38,11 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the digest of the text that the ids decode to, for each row of the mix."""
-    encoded = bpe.encode(docs)
-    decoded = bpe.decode(encoded, keep=("doc_id", "ids"))
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", hex_sha256("decoded").alias("decoded_sha256")
-    )
+    return bpe.encode_and_check(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
