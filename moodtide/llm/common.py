@@ -14,6 +14,8 @@ from moodtide.session import prepare_session, ship_package
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch, about.
+BATCH_BYTES = 8 << 20
 #: Rows of a text column that are turned into Python strings at a time.
 _SLICE_ROWS = 256
 
@@ -39,9 +41,16 @@ def id_remainder(doc_id: str, divisor: int) -> Column:
 
 
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the tasks."""
+    """``mapInArrow`` with this package at hand in the tasks. Batches are bounded by bytes, as texts may be long,
+    and a task gives memory back when it ends, as its worker stays for other stages."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = _SLICE_ROWS) -> Iterator[pa.RecordBatch]:

@@ -47,7 +47,7 @@ _VALUE_BITS = 56
 #: Sets of a block; lists with more are cut into blocks, and each pair of blocks is a cell.
 BLOCK = 512
 _BASE = 0x9E3779B97F4A7C15 | 1
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -56,7 +56,7 @@ def _powers() -> dict[str, np.ndarray]:
 
 
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least ``n``; kept by the worker up to a size."""
+    """Powers of the base and of its inverse modulo 2^64, at least ``n``; kept up to a size until the task ends."""
     table = _powers()
     if len(table.get("up", ())) < n:
         size = max(n, _TEXT_BYTES)
@@ -70,6 +70,18 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+def _without_tables(function):
+    """``function`` over batches; the powers go with its task, as workers stay for other stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _powers().clear()
+
+    return run
+
+
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -154,7 +166,7 @@ def sketches(
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *extra)
     added = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    return map_batches(rows, sketch, "doc_id bigint, n_shingles bigint, digest binary, signature array<int>" + added)
+    return map_batches(rows, _without_tables(sketch), "doc_id bigint, n_shingles bigint, digest binary, signature array<int>" + added)
 
 
 def _tokens(signature: str) -> Column:
@@ -209,7 +221,7 @@ def _texts_of_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, doc
                 [pa.array([found[i] for i in new], pa.binary()), part.column(0).take(pa.array(new, pa.int64()))], names=["digest", "text"]
             )
 
-    return durable(map_batches(listed, digests, "digest binary, text string"))
+    return durable(map_batches(listed, _without_tables(digests), "digest binary, text string"))
 
 
 def links_within(cells: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: int, text: str, doc_id: str) -> DataFrame:
@@ -231,7 +243,7 @@ def links_within(cells: DataFrame, nodes: DataFrame, docs: DataFrame, size: int,
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return durable(map_batches(dealt.select("key", "i", "j", "block", "nid", "root", "text"), confirm, "a bigint, b bigint"))
+    return durable(map_batches(dealt.select("key", "i", "j", "block", "nid", "root", "text"), _without_tables(confirm), "a bigint, b bigint"))
 
 
 def _first_cells(postings: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
