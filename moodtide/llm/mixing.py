@@ -36,13 +36,14 @@ def _tie(value: Column) -> Column:
 
 
 def sized(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """(doc_id, source, size, place, tie) of every row, written once. Size: number of words; null text 0.
+    """(doc_id, source, size, place, tie, number) of every row, written once. Size: number of words; null text 0.
 
-    ``tie`` tells rows of one id apart; it is stored, so all later steps see the same value.
+    ``tie``, of the text, tells rows of one id apart, ``number`` only rows of one id and text; it is stored, so
+    all later steps see the same value.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"),
-        place(doc_id).alias("place"), _tie(F.monotonically_increasing_id()).alias("tie"),
+        place(doc_id).alias("place"), _tie(F.col(text).cast("string")).alias("tie"), _tie(F.monotonically_increasing_id()).alias("number"),
     )
     return durable(rows)
 
@@ -145,23 +146,48 @@ def _with_thresholds(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     return rows.join(cuts, F.col("source").eqNullSafe(F.col("cut_source"))).drop("cut_source")
 
 
+def _with_times(rows: DataFrame, sizes: DataFrame, cuts: DataFrame, number: Column) -> DataFrame:
+    """``rows`` (source, size, place, tie and others) with source_size, target and ``times``.
+
+    If the cut of a source falls on several rows that neither place nor tie tells apart, these rows are written
+    and told apart by ``number``, so that as many of them are taken as the source needs. They are equal, so
+    which ones does not matter.
+    """
+    at_cut = F.coalesce((F.col("place") == F.col("cut_place")) & (F.col("tie") == F.col("cut_tie")), F.lit(False))
+    counted = durable(
+        _with_thresholds(sizes, cuts).filter(at_cut).groupBy("source").agg(
+            F.sum("size").alias("source_size"), F.first("rest_at_cut").alias("target"), F.count(F.lit(1)).alias("n")
+        )
+    )
+    placed = _with_thresholds(rows, cuts)
+    names = [*rows.columns, "source_size", "target"]
+    if counted.filter("n > 1").isEmpty():
+        return placed.select(*names, _times().alias("times"))
+    before = [F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("whole").alias("_before")]
+    equal = durable(placed.filter(at_cut).select(*[c for c in rows.columns if c != "tie"], number.alias("tie"), *before))
+    again = _with_thresholds(equal, thresholds(equal.select("source", "size", "place", "tie"), counted.drop("n")))
+    taken = again.select(*rows.columns, F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_before") + _times()).alias("times"))
+    return placed.filter(~at_cut).select(*names, _times().alias("times")).unionByName(taken)
+
+
 def mix(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source",
     weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = SHARE, cap: int = CAP,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, times, taken (times x size).
 
-    Each source's taken sizes differ from its target by at most half of one document. The same input
-    gives the same mix, however it is partitioned, as far as ids tell rows apart.
+    Each source's taken sizes differ from its target by at most half of one document. The same rows
+    give the same mix, however they are partitioned.
 
-    Null text: size 0. Null source: a source of its own. Null ids share one place; rows of one place are
-    told apart by a stored tie, so a source of which a third has one id still meets its target. Documents
+    Null text: size 0. Null source: a source of its own. Null ids share one place; rows of one id are told
+    apart by their text, and equal rows by a stored number, so a source of which a third has one id still
+    meets its target. Very long texts are only counted. Documents
     without words are taken as often as any below the cut and add nothing. An empty table gives no rows.
     Other columns are ignored.
     """
     sizes = sized(docs, text, doc_id, source)
     cuts = thresholds(sizes, target_sizes(sizes, weights, share, cap))
-    rows = _with_thresholds(sizes, cuts).withColumn("times", _times())
+    rows = _with_times(sizes, sizes, cuts, F.col("number"))
     return rows.select(
         "doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken")
     )
@@ -188,20 +214,5 @@ def mixed_rows(
         )
     )
     cuts = thresholds(sizes, target_sizes(sizes, weights, share, cap))
-    at_cut = F.coalesce((F.col("place") == F.col("cut_place")) & (F.col("tie") == F.col("cut_tie")), F.lit(False))
-    counted = durable(
-        _with_thresholds(sizes, cuts).filter(at_cut).groupBy("source").agg(
-            F.sum("size").alias("source_size"), F.first("rest_at_cut").alias("target"), F.count(F.lit(1)).alias("n")
-        )
-    )
-    placed = _with_thresholds(rows, cuts)
-    if counted.filter("n > 1").isEmpty():
-        times = placed.select("row", _times().alias("times"))
-    else:
-        stored = _tie(F.monotonically_increasing_id()).alias("tie")
-        equal = durable(placed.filter(at_cut).select("row", "source", "size", "place", F.col("whole").alias("before"), stored))
-        again = thresholds(equal.select("source", "size", "place", "tie"), counted.drop("n"))
-        times = placed.filter(~at_cut).select("row", _times().alias("times")).unionByName(
-            _with_thresholds(equal, again).select("row", (F.col("before") + _times()).alias("times"))
-        )
+    times = _with_times(rows, sizes, cuts, _tie(F.monotonically_increasing_id())).select("row", "times")
     return times.select("row", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("copy")).select("row.*")
