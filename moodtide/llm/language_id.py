@@ -130,14 +130,18 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
 
 
 def _sample(docs: DataFrame, text: str, label: str, key: str, limit: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(language, buckets, counts) of a hash-chosen sample with equal room for each language."""
-    sizes = {r[label]: r["n"] for r in docs.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """(language, buckets, counts) of a sample of distinct rows, chosen by a hash of id and text, with equal room
+    for each language: about ``limit`` rows, as the shares come from counts of distinct rows."""
+    row = F.xxhash64(F.lit("language"), key, F.col(text).cast("string"))
+    hashed = docs.select(F.col(label).alias("lang"), row.alias("h"))
+    sizes = {r["lang"]: r["n"] for r in hashed.distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return []
     room = max(1, limit // len(sizes))
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, room / n))])
-    chance = F.pmod(F.xxhash64(F.lit("language"), key, F.length(text)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = docs.filter(chance < share[F.col(label)]).select(F.col(label).alias("lang"), F.col(text).cast("string").alias("text"))
+    chance = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    rows = docs.select(F.col(label).alias("lang"), F.col(text).cast("string").alias("text"), row.alias("h"))
+    chosen = rows.filter(chance < share[F.col("lang")]).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 64):
@@ -146,7 +150,7 @@ def _sample(docs: DataFrame, text: str, label: str, key: str, limit: int) -> lis
             lists = [pa.array([p[i].tolist() for p in pairs], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["lang", "buckets", "counts"])
 
-    found = map_batches(chosen.limit(2 * limit), features, "lang string, buckets array<int>, counts array<int>").toPandas()
+    found = map_batches(chosen, features, "lang string, buckets array<int>, counts array<int>").toPandas()
     rows = zip(found["lang"], found["buckets"], found["counts"])
     arrays = ((a, np.asarray(b, np.int64), np.asarray(c, np.float64)) for a, b, c in rows)
     return sorted(arrays, key=lambda r: (r[0], len(r[1]), r[2].sum(), r[1].sum()))  # an order of their own

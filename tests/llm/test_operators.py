@@ -475,3 +475,31 @@ def test_empty_tables(spark, nothing):
     path = scratch_path(spark, "tokens")
     assert token_files.write_token_files(nothing, path).isEmpty()
     assert token_files.read_token_files(spark, path).isEmpty()
+
+
+def test_mix_does_not_depend_on_partitions(spark):
+    """One id on 400 different rows, and equal rows at the cut."""
+    rng = random.Random(5)
+    rows = [(7, " ".join(["w"] * rng.randrange(1, 60)) + f" x{i}", rng.choice("ab")) for i in range(400)] + [(7, "just the same", "a")] * 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+
+    def taken(df):
+        return Counter((r["doc_id"], r["source"], r["size"], r["taken"]) for r in mixing.mix(df).collect())
+
+    assert taken(docs.repartition(3)) == taken(docs.repartition(7, "text")) == taken(docs.orderBy("text").coalesce(1))
+
+
+def test_encoding_with_digests_is_encoding_and_decoding(messy):
+    both = bpe.decode(bpe.encode(messy), keep=("doc_id", "ids"))
+    expected = sorted(((r["doc_id"], r["ids"], hashlib.sha256(r["decoded"].encode()).hexdigest()) for r in both.collect()), key=repr)
+    assert sorted((tuple(r) for r in bpe.encode_and_check(messy).collect()), key=repr) == expected
+
+
+def test_language_sample_is_not_cut(spark):
+    """One id on most rows of one language does not push the other out."""
+    from moodtide.llm.language_id import _sample
+
+    rows = [(None, f"the same length {i:05}", "en") for i in range(3000)] + [(None, "gleich", "de")] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = Counter(r[0] for r in _sample(docs, "text", "lang", "doc_id", 200))
+    assert found["de"] == 1 and 50 < found["en"] < 200
