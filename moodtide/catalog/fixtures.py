@@ -206,8 +206,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(n, digits).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes])
 
 
-def write_zst_lines(lines: DataFrame, path: str, window_log: int = 28) -> None:
-    """Write ``value`` as long-window ``.zst`` files, one per task."""
+def write_zst_lines(lines: DataFrame, path: str, window_log: int = 28, frame_bytes: int | None = None) -> None:
+    """Write ``value`` as long-window ``.zst`` files, one per task; with ``frame_bytes``, in frames of that many
+    bytes of text, which end in the middle of lines."""
 
     target = qualified(lines.sparkSession, path)
 
@@ -222,11 +223,17 @@ def write_zst_lines(lines: DataFrame, path: str, window_log: int = 28) -> None:
         name = f"{root}/part-{uuid.uuid4().hex}.jsonl.zst"
         parameters = zstandard.ZstdCompressionParameters.from_level(3, window_log=window_log)
         compressor = zstandard.ZstdCompressor(compression_params=parameters)
-        count = 0
+        count, room = 0, frame_bytes
         with filesystem.open_output_stream(name, compression=None) as raw, compressor.stream_writer(raw, closefd=False) as out:
             for batch in batches:
                 for value in batch.column(0).to_pylist():
-                    out.write(value.encode("utf-8") + b"\n")
+                    line = value.encode("utf-8") + b"\n"
+                    while room is not None and len(line) >= room:
+                        out.write(line[:room])
+                        out.flush(zstandard.FLUSH_FRAME)
+                        line, room = line[room:], frame_bytes
+                    out.write(line)
+                    room = None if room is None else room - len(line)
                     count += 1
         yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], names=["lines"])
 

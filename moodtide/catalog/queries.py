@@ -19,7 +19,7 @@ from moodtide.operators.measures import measured, total, valid
 from moodtide.plans.report_plan import POST_COLUMNS
 from moodtide.plans.training_plan import fit_both
 from moodtide.session import durable, numbered
-from moodtide.sources import artifacts, text_lines, zst
+from moodtide.sources import artifacts, csv_ranges, text_lines, zst, zst_frames
 from moodtide.sources import csv as csv_io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,16 @@ def scan_zst(spark, sf):
     return _from_lines(zst.scan_zst(spark, path).select("value", *ingest.FILE_ORDER))
 
 
+@query("scan_zst_frames", o.posts_sql(_ID_GROUP_TIME))
+def scan_zst_frames(spark, sf):
+    """Dumps of many frames, read in short runs so that lines cross from one task's frames to another's."""
+    path = fx.fresh(spark, "zst")
+    columns = ["id", "subreddit", "author", "created_utc", "title", "body"]
+    lines = fx.posts(spark, sf).select(F.to_json(F.struct(*columns)).alias("value"))
+    fx.write_zst_lines(lines, path, frame_bytes=300_000)
+    return _from_lines(zst_frames.scan_zst_frames(spark, path, run_bytes=1 << 20).select("value", *ingest.FILE_ORDER))
+
+
 @query(
     "scan_input_discovery",
     "SELECT DISTINCT source AS folder, 'json' AS suffix FROM documents WHERE source NOT LIKE '%1%' "
@@ -145,6 +155,12 @@ def scan_glob_union(spark, sf):
     return _csv_rows(csv_io.scan_glob_union(spark, _written_csv(spark, sf), _POST_CSV, "*.csv"))
 
 
+@query("scan_csv_ranges", o.posts_sql(_ID_GROUP_TIME))
+def scan_csv_ranges(spark, sf):
+    """The same files read by byte ranges, short ones so that every file has several."""
+    return _csv_rows(csv_ranges.scan_csv_ranges(spark, _written_csv(spark, sf), _POST_CSV, range_bytes=1 << 20))
+
+
 @query(
     "sink_csv",
     o.posts_sql("SELECT subreddit, count(*) AS posts, sum(length(body))::BIGINT AS body_chars FROM posts GROUP BY subreddit"),
