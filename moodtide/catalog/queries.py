@@ -13,7 +13,7 @@ from moodtide.catalog.fixtures import STUDY, rounded
 from moodtide.config import matched_column, topic_column
 from moodtide.functions import dates, numeric, text
 from moodtide.functions.topics import contains_phrase, prepare_keywords
-from moodtide.operators import features, guards, hypotheses, ingest, models, sentiment, tagging, trends, users
+from moodtide.operators import features, guards, hypotheses, id_table, ingest, models, sentiment, tagging, trends, users
 from moodtide.operators import posts as post_ops
 from moodtide.operators.measures import measured, total, valid
 from moodtide.plans.report_plan import POST_COLUMNS
@@ -402,16 +402,29 @@ def union_files(spark, sf):
     return _copies(spark, sf).select("id", "subreddit", "created_utc")
 
 
-@query(
-    "dedup_by_id",
-    f"""WITH {o.POSTS}, {_COPIES}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_utc, doc_id) AS k
-    FROM copies) SELECT id, doc_id, subreddit, author, created_utc, md5(title) AS title_md5 FROM r WHERE k = 1""",
-)
+_FIRST_COPIES = f"""WITH {o.POSTS}, {_COPIES}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_utc, doc_id) AS k
+    FROM copies) SELECT id, doc_id, subreddit, author, created_utc, md5(title) AS title_md5 FROM r WHERE k = 1"""
+
+
+@query("dedup_by_id", _FIRST_COPIES)
 def dedup_by_id(spark, sf):
     unique = ingest.dedup_by_id(_copies(spark, sf), order_by=("created_utc", "doc_id"))
     return unique.select("id", "doc_id", "subreddit", "author", "created_utc", md5("title"))
 
 
+@query("dedup_new_posts", _FIRST_COPIES)
+def dedup_new_posts(spark, sf):
+    """The same posts as two dumps, the later one deduplicated against the ids of the earlier."""
+    copies = durable(_copies(spark, sf))
+    later = F.coalesce(F.col("created_utc") >= copies.agg(F.avg("created_utc")).scalar(), F.lit(False))
+    table, order = id_table.IdTable(spark), ("created_utc", "doc_id")
+    dumps = [
+        id_table.dedup_new_posts(dump, table, name, order)
+        for name, dump in (("earlier", copies.filter(~later)), ("later", copies.filter(later)))
+    ]
+    return dumps[0].unionByName(dumps[1]).select("id", "doc_id", "subreddit", "author", "created_utc", md5("title"))
+
+
 @query("distinct_groups_present", o.posts_sql("SELECT DISTINCT subreddit FROM posts"))
 def distinct_groups_present(spark, sf):
     return ingest.distinct_groups_present(fx.posts(spark, sf))

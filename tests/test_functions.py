@@ -150,6 +150,27 @@ def test_production_topics(spark):
     assert words[2] == ("", "on site; onsite; return-to-office", "base pay; pay")
 
 
+def test_long_keyword_lists_find_what_each_keyword_finds(spark, sf_dir):
+    """Thousands of words and phrases of up to four words, met from the text's side."""
+    from moodtide.catalog import fixtures as fx
+
+    texts = [r[0] or "" for r in fx.cleaned_docs(spark, sf_dir).select("cleaned_text").limit(60).collect()]
+    texts += ["", "a", "a a a", "a  a", "the end of the"]
+    present = {" ".join(t.split()[i : i + n]) for t in texts[:40] for n in (1, 2, 3, 4) for i in range(0, len(t.split()) - n + 1, 3)}
+    absent = {f"{p} zq" for p in list(sorted(present))[:500]} | {"a a", "end of the"}
+    phrases = sorted(p for p in present | absent if p)
+    topic = Topic("long", "d", tuple(p.upper() if i % 2 else p for i, p in enumerate(phrases)))
+    keywords = prepare_keywords(topic)
+    assert len(keywords) > 1000
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "i int, c string")
+    found = df.withColumn("h", keyword_hits(F.col("c"), (topic,))).select(
+        "i", "h", topic_flag(F.col("h"), topic).alias("flag"), matched_keywords(F.col("h"), topic).alias("words"))
+    for i, hits, flag, words in found.collect():
+        expected = [k for k in keywords if i >= 0 and f" {k.cleaned} " in f" {texts[i]} "]
+        assert sorted(hits) == sorted(k.cleaned for k in expected) and flag == bool(expected)
+        assert words == "; ".join(k.raw for k in sorted(expected, key=lambda k: k.raw.lower()))
+
+
 def test_topic_without_usable_keywords(spark):
     empty = Topic("odd", "d", ("@all", "123"))
     df = spark.createDataFrame([("any text",)], "c string")
