@@ -13,7 +13,7 @@ from moodtide.catalog.fixtures import STUDY, rounded
 from moodtide.config import matched_column, topic_column
 from moodtide.functions import dates, numeric, text
 from moodtide.functions.topics import contains_phrase, prepare_keywords
-from moodtide.operators import features, guards, hypotheses, id_table, ingest, models, sentiment, tagging, trends, users
+from moodtide.operators import cube_store, features, guards, hypotheses, id_table, ingest, models, sentiment, tagging, trends, users
 from moodtide.operators import posts as post_ops
 from moodtide.operators.measures import measured, total, valid
 from moodtide.plans.report_plan import POST_COLUMNS
@@ -417,7 +417,7 @@ def dedup_new_posts(spark, sf):
     """The same posts as two dumps, the later one deduplicated against the ids of the earlier."""
     copies = durable(_copies(spark, sf))
     later = F.coalesce(F.col("created_utc") >= copies.agg(F.avg("created_utc")).scalar(), F.lit(False))
-    table, order = id_table.IdTable(spark), ("created_utc", "doc_id")
+    table, order = id_table.IdTable(spark, buckets=8), ("created_utc", "doc_id")
     dumps = [
         id_table.dedup_new_posts(dump, table, name, order)
         for name, dump in (("earlier", copies.filter(~later)), ("later", copies.filter(later)))
@@ -1228,6 +1228,15 @@ def topic_monthly_trends_long(spark, sf):
     return rounded(trends.topic_monthly_trends_long(fx.rows(spark, sf), STUDY))
 
 
+@query("incremental_monthly_trends", o.tagged_sql(_TREND_LONG, _DENSE))
+def incremental_monthly_trends(spark, sf):
+    """The same trends from three batches put one by one, each with late posts of the others' months."""
+    store, tagged = cube_store.CubeStore(spark, fx.fresh(spark, "cubes"), STUDY), fx.tagged(spark, sf)
+    for i in range(3):
+        store.put(f"batch-{i}", tagged.filter(F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(3)) == i))
+    return rounded(trends.topic_monthly_trends_long(store.cube(), STUDY))
+
+
 def _pivot_query(kind: str, value: str):
     columns = ", ".join(f"max({value}) FILTER (topic_bucket = '{n}') AS \"{n}\"" for n in sorted(STUDY.topic_names))
     sql = o.tagged_sql(f"SELECT year_month, {columns} FROM ({_TREND_LONG}) GROUP BY year_month", _DENSE)

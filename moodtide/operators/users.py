@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from moodtide.config import Study, topic_column
 from moodtide.functions.numeric import coerce_flag, coerce_label, guarded_correlation, numeric_column
 from moodtide.functions.text import normalize_author
-from moodtide.operators.guards import require_columns
+from moodtide.operators.guards import compute_once, require_columns
 from moodtide.session import durable
 
 SIDES = ("prob_positive", "prob_negative")
@@ -99,36 +99,42 @@ def user_topic_wide(authors: DataFrame, study: Study) -> DataFrame:
     return wide.filter(F.coalesce(*[F.col(n) for n in names]).isNotNull()).select("author_norm", *sorted(names))
 
 
-def _pair_correlations(wide_means: list[Column]) -> dict[tuple[int, int], Column]:
-    n = len(wide_means)
-    return {(i, j): guarded_correlation(wide_means[i], wide_means[j]) for i in range(n) for j in range(i, n)}
+def _pair_correlations(authors: DataFrame, size: int) -> DataFrame:
+    """(a, b, correlation) for topic numbers a <= b that some author has both of.
+
+    One aggregate keyed by the pair, whatever the number of topics: a row is multiplied only by the pairs of
+    topics its author posted in, and each task keeps one co-moment state per pair.
+    """
+    means = [F.when(_mean(i).isNotNull(), F.struct(F.lit(i).alias("t"), _mean(i).alias("m"))) for i in range(size)]
+    own = compute_once(authors, _own=F.array_compact(F.array(*means)))
+
+    def pairs_with(a: Column) -> Column:
+        later = F.filter("_own", lambda b: b["t"] >= a["t"])
+        return F.transform(later, lambda b: F.struct(a["t"].alias("a"), b["t"].alias("b"), a["m"].alias("x"), b["m"].alias("y")))
+
+    pairs = own.select(F.inline(F.flatten(F.transform("_own", pairs_with))))
+    return pairs.groupBy("a", "b").agg(guarded_correlation(F.col("x"), F.col("y")).alias("correlation"))
 
 
 def topic_correlation_matrix(authors: DataFrame, study: Study) -> DataFrame:
     """Long, symmetric Pearson matrix of the authors' topic means, diagonal included.
 
-    Each pair is an aggregate over the author rows where both topics are present, all pairs in
-    one pass: no author is joined with itself. Topics nobody posted in have no row.
+    Each pair is over the author rows where both topics are present, NULL where there is none: no author
+    is joined with itself. Topics nobody posted in have no row.
     """
-    names = study.topic_names
-    pairs = _pair_correlations([_mean(i) for i in range(len(names))])
-    flat = authors.agg(
-        *[F.count_if(F.col(f"n{i}") > 0).alias(f"u{i}") for i in range(len(names))],
-        *[c.alias(f"r{i}_{j}") for (i, j), c in pairs.items()],
+    size, names = len(study.topics), F.array(*[F.lit(n) for n in study.topic_names])
+    place = F.col("a") * size + F.col("b")
+    known = _pair_correlations(authors, size).agg(
+        F.map_from_entries(F.collect_list(F.struct(place.alias("p"), "correlation"))).alias("r")
     )
-    entries = [
-        F.when(
-            (F.col(f"u{i}") > 0) & (F.col(f"u{j}") > 0),
-            F.struct(
-                F.lit(names[i]).alias("topic_a"),
-                F.lit(names[j]).alias("topic_b"),
-                F.col(f"r{min(i, j)}_{max(i, j)}").alias("correlation"),
-            ),
-        )
-        for i in range(len(names))
-        for j in range(len(names))
-    ]
-    return flat.select(F.inline(F.array_compact(F.array(*entries))))
+    used = known.select("r", F.filter(F.map_keys("r"), lambda p: p % (size + 1) == 0).alias("diagonal"))
+    number = lambda p: (p / (size + 1)).cast("int")
+    entry = lambda a, b: F.struct(
+        F.get(names, a).alias("topic_a"), F.get(names, b).alias("topic_b"),
+        F.element_at("r", F.least(a, b) * size + F.greatest(a, b)).alias("correlation"),
+    )
+    rows = F.transform("diagonal", lambda p: F.transform("diagonal", lambda q: entry(number(p), number(q))))
+    return used.select(F.inline(F.flatten(rows)))
 
 
 def correlation_melt(matrix: DataFrame) -> DataFrame:
@@ -138,16 +144,14 @@ def correlation_melt(matrix: DataFrame) -> DataFrame:
 
 def user_summary(authors: DataFrame, study: Study) -> DataFrame:
     """The H3 row: eligible users, user-topic rows, topics with data and the largest
-    off-diagonal correlation, from one pass over the author rows."""
+    off-diagonal correlation. The note texts are fixed values."""
     size = len(study.topics)
-    pairs = _pair_correlations([_mean(i) for i in range(size)])
+    pairs = _pair_correlations(authors, size).filter("a < b")
+    largest = pairs.agg(F.max(F.abs("correlation"))).scalar()
     flat = authors.agg(
-        F.count(F.lit(1)).alias("eligible_users"),
-        *[F.count_if(F.col(f"n{i}") > 0).alias(f"u{i}") for i in range(size)],
-        *[F.abs(c).alias(f"r{i}_{j}") for (i, j), c in pairs.items() if i != j],
-    )
+        F.count(F.lit(1)).alias("eligible_users"), *[F.count_if(F.col(f"n{i}") > 0).alias(f"u{i}") for i in range(size)]
+    ).withColumn("largest", largest)
     users = [F.col(f"u{i}") for i in range(size)]
-    correlations = F.array(*[F.col(f"r{i}_{j}") for i, j in pairs if i != j]).cast("array<double>")
     rows = sum(users, F.lit(0).cast("bigint"))
     return flat.select(
         F.lit("H3").alias("hypothesis"),
@@ -155,8 +159,8 @@ def user_summary(authors: DataFrame, study: Study) -> DataFrame:
         "eligible_users",
         rows.alias("user_topic_rows"),
         sum(((u > 0).cast("bigint") for u in users), F.lit(0).cast("bigint")).alias("num_topic_buckets_with_user_data"),
-        F.array_max(correlations).alias("max_abs_topic_correlation"),
-        F.coalesce(F.array_max(correlations) > 0, F.lit(False)).alias("supports_h3_measurable_correlations"),
+        F.col("largest").alias("max_abs_topic_correlation"),
+        F.coalesce(F.col("largest") > 0, F.lit(False)).alias("supports_h3_measurable_correlations"),
         F.when(rows > 0, F.lit("Correlation matrix based on user-level average predicted sentiment by topic."))
         .otherwise(F.lit("Insufficient eligible user-topic data.")).alias("note"),
     )

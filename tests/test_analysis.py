@@ -195,3 +195,33 @@ def test_topic_definitions(spark, tmp_path):
     write_topic_definitions(tagging.topic_definitions(spark, STUDY), str(tmp_path / "t"))
     rows = read_topic_definitions(spark, str(tmp_path / "t")).collect()
     assert [(r[0], tuple(r[2])) for r in rows] == [(t.name, t.keywords) for t in STUDY.topics]
+
+
+def test_correlations_of_sixty_topics(spark):
+    """Many topics, most missing for most authors, some pairs without a common author, one topic without any."""
+    import random
+
+    import pandas as pd
+
+    from moodtide.config import Study, Topic
+
+    study = Study(topics=tuple(Topic(f"t{i:02d}", "d", (f"w{i}",)) for i in range(60)))
+    chooser, rows = random.Random(5), []
+    for a in range(150):
+        mine = set(chooser.sample(range(60), chooser.randint(0, 12))) - {7}
+        counts = [chooser.randint(1, 5) if t in mine else 0 for t in range(60)]
+        rows.append((f"a{a}", *counts, *[chooser.randint(0, n) if n else None for n in counts]))
+    names = ", ".join(["author_norm string", *[f"n{i} bigint" for i in range(60)], *[f"l{i} bigint" for i in range(60)]])
+    authors = spark.createDataFrame(rows, names)
+    frame = pd.DataFrame([[r[61 + t] / r[1 + t] if r[1 + t] else None for t in range(60)] for r in rows], columns=study.topic_names)
+    used = [c for c in frame if frame[c].notna().any()]
+    want = frame[used].astype(float).corr(min_periods=2)
+    matrix = {(r[0], r[1]): r[2] for r in users.topic_correlation_matrix(authors, study).collect()}
+    assert set(matrix) == {(a, b) for a in used for b in used} and len(used) == 59
+    for (a, b), value in matrix.items():
+        expected = want.loc[a, b]
+        assert value is None if pd.isna(expected) else value == pytest.approx(expected, abs=1e-9)
+    largest = max(abs(want.loc[a, b]) for a in used for b in used if a != b and not pd.isna(want.loc[a, b]))
+    assert users.user_summary(authors, study).first()["max_abs_topic_correlation"] == pytest.approx(largest, abs=1e-9)
+    text = users.topic_correlation_matrix(authors, study)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and text.count("Scan") == 1
