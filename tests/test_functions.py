@@ -96,6 +96,17 @@ def test_normal_cdf_matches_math(spark):
     assert max(abs(a - b) for a, b in zip(got, want)) < 1e-14
 
 
+def test_normal_cdf_is_compiled_and_exact_at_the_seams(spark):
+    seams = [s * math.sqrt(2.0) + d for s in (0.0, 0.46875, 4.0, 6.0) for d in (-1e-9, 0.0, 1e-9)]
+    xs = [None, math.nan, math.inf, -math.inf, *seams, *(-x for x in seams)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    cdf = df.select("i", numeric.normal_cdf(F.col("x")).alias("cdf"), numeric.p_value_two_sided(F.col("x")).alias("p"))
+    assert "lambda" not in cdf._jdf.queryExecution().optimizedPlan().toString()  # no loop for each row
+    got = [r["cdf"] for r in cdf.orderBy("i").collect()]
+    assert got[0] is None and math.isnan(got[1]) and got[2:4] == [1.0, 0.0]
+    assert max(abs(a - 0.5 * math.erfc(-x / math.sqrt(2.0))) for a, x in zip(got[4:], xs[4:])) < 1e-15
+
+
 def z(spark, *counts):
     df = spark.createDataFrame([counts], "a long, b long, c long, d long")
     t = numeric.two_proportion_z_test(*[F.col(c) for c in "abcd"])
