@@ -873,9 +873,9 @@ _VOCAB = o.vocabulary("terms", "docs", features.MAX_FEATURES)
 
 
 def _all_terms(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Cleaned documents (written once, as two passes read them), term counts and vocabulary."""
-    docs = durable(fx.cleaned_docs(spark, sf).select("id", "cleaned_text"))
-    terms = features.term_counts(docs)
+    """Ids of the documents, term counts (written once, as two passes read them) and vocabulary."""
+    docs = fx.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    terms = durable(features.term_counts(fx.cleaned_docs(spark, sf)))
     frequencies = durable(features.document_frequency(terms, docs))
     return docs, terms, durable(features.vocabulary_topn(frequencies))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from moodtide.catalog import fixtures as fx
+from moodtide.catalog import queries
 from moodtide.catalog.fixtures import STUDY
 from moodtide.operators import features, models, sentiment
 from moodtide.plans.report_plan import report_tables
@@ -67,3 +68,8 @@ def test_intermediate_tables_are_in_the_shared_folder(spark):
     assert all(named in f for f in table.inputFiles())
     places = numbered(spark.range(0, 50, 1, 7).orderBy("id"), "place").collect()
     assert sorted((r["id"], r["place"]) for r in places) == [(i, i) for i in range(50)]
+
+
+def test_texts_are_cleaned_and_counted_once(spark, sf_dir):
+    weights = plan(queries.QUERIES["tfidf_weights"](spark, sf_dir))
+    assert "Generate" not in weights and "documents.parquet" not in weights
