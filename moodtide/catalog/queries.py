@@ -1650,7 +1650,7 @@ def predict_sentiment(spark, sf):
     texts = fx.texts(spark, sf, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
     first_line = F.split_part("text", F.lit("\n"), F.lit(1))
     texts = texts.unionByName(texts.filter(F.col("doc_id") % 10 == 0).withColumn("text", first_line))
-    docs = post_ops.keep_with_cleaned_text(texts, "text").select("id", "cleaned_text")
+    docs = durable(post_ops.keep_with_cleaned_text(texts, "text").select("id", "cleaned_text"))  # both models read them
     positive = F.col("prob_positive") > 0.5
     consistent = (
         (F.abs(F.col("prob_negative") + F.col("prob_positive") - 1.0) < 1e-9)

@@ -73,3 +73,5 @@ def test_intermediate_tables_are_in_the_shared_folder(spark):
 def test_texts_are_cleaned_and_counted_once(spark, sf_dir):
     weights = plan(queries.QUERIES["tfidf_weights"](spark, sf_dir))
     assert "Generate" not in weights and "documents.parquet" not in weights
+    scored = plan(queries.QUERIES["predict_sentiment"](spark, sf_dir))
+    assert "translate(" not in scored and "documents.parquet" not in scored
