@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.llm.common import map_batches, slices, texts_of
+from moodtide.llm.common import map_batches, release_memory, slices, texts_of
 
 #: Fixed value: how byte-level vocabularies of this kind split text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -226,7 +226,9 @@ def shared_lengths(words: list[bytes]) -> list[int]:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TrieEncoder:
     """The encoder of a vocabulary file; a Python worker makes it once."""
-    return TrieEncoder(Vocabulary(path))
+    made = TrieEncoder(Vocabulary(path))
+    release_memory()  # the parsed file
+    return made
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -251,18 +253,20 @@ def _encoded(docs: DataFrame, vocabulary: str | None, text: str, keep: tuple[str
     keep = tuple(k for k in keep if k not in added)
 
     def digests(flat: pa.Array, sizes: list[int]) -> pa.Array:
-        texts = (data.decode("utf-8", "replace").encode() for data in _joined_tokens(_token_bytes(path), flat, np.array(sizes)))
+        texts = (data.decode("utf-8", "replace").encode() for data in _joined_tokens(_encoder_bytes(path), flat, np.array(sizes)))
         return pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
-        for part in slices(batches, _TEXTS):
-            found = tool.encode_batch(texts_of(part.column(0)))
-            sizes = [len(x) // 4 for x in found]
-            offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(found), np.int32))
-            columns = [pa.ListArray.from_arrays(pa.array(offsets), flat)] + ([digests(flat, sizes)] if check else [])
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*keep, *added])
+        for batch in batches:
+            for part in slices(iter((batch,)), _TEXTS):
+                found = tool.encode_batch(texts_of(part.column(0)))
+                sizes = [len(x) // 4 for x in found]
+                offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(found), np.int32))
+                columns = [pa.ListArray.from_arrays(pa.array(offsets), flat)] + ([digests(flat, sizes)] if check else [])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*keep, *added])
+            release_memory()  # two such workers share an executor with a grown JVM
 
     rows = docs.select(F.col(text).cast("string").alias("_text"), *keep)
     types = ["ids array<int>", "decoded_sha256 string"][: 1 + check]
@@ -270,6 +274,12 @@ def _encoded(docs: DataFrame, vocabulary: str | None, text: str, keep: tuple[str
     return map_batches(rows, run, schema)
 
 
+@lru_cache(maxsize=2)
+def _encoder_bytes(path: str) -> pa.Array:
+    """The bytes of each token, from the encoder at hand, so that the file is not parsed a second time."""
+    return pa.array(encoder(path).vocabulary.bytes_of, pa.large_binary())
+
+
 @lru_cache(maxsize=2)
 def _token_bytes(path: str) -> pa.Array:
     """The bytes of each token, read from the file without its merges; a Python worker reads them once."""

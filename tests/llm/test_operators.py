@@ -503,3 +503,24 @@ def test_language_sample_is_not_cut(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     found = Counter(r[0] for r in _sample(docs, "text", "lang", "doc_id", 200))
     assert found["de"] == 1 and 50 < found["en"] < 200
+
+
+def test_encoder_reads_its_file_once_and_gives_memory_back(monkeypatch):
+    import json
+
+    import psutil
+
+    from moodtide.llm import bpe
+    from moodtide.llm.common import release_memory
+
+    reads, load = [], json.load
+    monkeypatch.setattr(bpe.json, "load", lambda file: reads.append(1) or load(file))
+    bpe.encoder.cache_clear()
+    path = bpe.default_vocabulary()
+    assert bpe._encoder_bytes(path).equals(bpe._token_bytes.__wrapped__(path)) and len(reads) == 2  # encoder; the comparison
+    kept = [bytes(2000) for _ in range(50_000)]
+    last = bytes(2000)  # above them on the heap
+    full = psutil.Process().memory_info().rss
+    del kept
+    release_memory()
+    assert last and psutil.Process().memory_info().rss < full - 50_000_000
