@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.llm.common import map_batches, release_memory, slices, texts_of
+from moodtide.llm.common import map_batches, release_memory, slices, texts_of, worker_table
 
 #: Fixed value: how byte-level vocabularies of this kind split text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -223,6 +223,7 @@ def shared_lengths(words: list[bytes]) -> list[int]:
     return [0, *shared.tolist()]
 
 
+@worker_table
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TrieEncoder:
     """The encoder of a vocabulary file; a Python worker makes it once."""
@@ -274,12 +275,14 @@ def _encoded(docs: DataFrame, vocabulary: str | None, text: str, keep: tuple[str
     return map_batches(rows, run, schema)
 
 
+@worker_table
 @lru_cache(maxsize=2)
 def _encoder_bytes(path: str) -> pa.Array:
     """The bytes of each token, from the encoder at hand, so that the file is not parsed a second time."""
     return pa.array(encoder(path).vocabulary.bytes_of, pa.large_binary())
 
 
+@worker_table
 @lru_cache(maxsize=2)
 def _token_bytes(path: str) -> pa.Array:
     """The bytes of each token, read from the file without its merges; a Python worker reads them once."""

@@ -41,6 +41,24 @@ def id_remainder(doc_id: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+_tables: list = []
+
+
+def worker_table(cached):
+    """Marks an ``lru_cache`` of large tables: a worker keeps them from task to task of the module that makes them, and
+    drops them when it takes up another module's task."""
+    _tables.append(cached)
+    return cached
+
+
+def drop_other_tables(module: str) -> None:
+    held = [c for c in _tables if c.__module__ != module and c.cache_info().currsize]
+    for cached in held:
+        cached.cache_clear()
+    if held:
+        release_memory()
+
+
 def release_memory() -> None:
     """Hand free memory of this process back to the system. Arrow's pool and the C library keep what was freed, up to
     hundreds of MB in a worker that waits for its next task, and every executor has several of them."""
@@ -54,9 +72,11 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand in the tasks. Batches are bounded by bytes, as texts may be long,
     and a task gives memory back when it ends, as its worker stays for other stages."""
     ship_package(df.sparkSession)
+    module = function.__module__
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_other_tables(module)
         yield from function(batches)
         release_memory()
 

@@ -524,3 +524,13 @@ def test_encoder_reads_its_file_once_and_gives_memory_back(monkeypatch):
     del kept
     release_memory()
     assert last and psutil.Process().memory_info().rss < full - 50_000_000
+
+
+def test_a_worker_drops_the_tables_of_another_operator():
+    from moodtide.llm import bpe, common
+
+    bpe._encoder_bytes(bpe.default_vocabulary())
+    common.drop_other_tables(bpe.__name__)
+    assert bpe.encoder.cache_info().currsize and bpe._encoder_bytes.cache_info().currsize
+    common.drop_other_tables("moodtide.llm.toxicity")
+    assert not bpe.encoder.cache_info().currsize and not bpe._encoder_bytes.cache_info().currsize
