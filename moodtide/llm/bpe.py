@@ -29,8 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Words whose encodings a task remembers; when there are more, it starts afresh.
 REMEMBERED = 250_000
 _NEVER = 1 << 40
-#: Texts whose words form one trie.
-_TEXTS = 512
+#: Texts, and bytes of them, whose words form one trie; a longer text has one by itself.
+_TEXTS, _TRIE_BYTES = 512, 1 << 20
 
 
 def default_vocabulary() -> str:
@@ -260,7 +260,7 @@ def _encoded(docs: DataFrame, vocabulary: str | None, text: str, keep: tuple[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for batch in batches:
-            for part in slices(iter((batch,)), _TEXTS):
+            for part in _trie_parts(batch):
                 found = tool.encode_batch(texts_of(part.column(0)))
                 sizes = [len(x) // 4 for x in found]
                 offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32)
@@ -275,6 +275,18 @@ def _encoded(docs: DataFrame, vocabulary: str | None, text: str, keep: tuple[str
     return map_batches(rows, run, schema)
 
 
+def _trie_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch cut into the texts of one trie each. Every word of a piece is a Python string while it is encoded,
+    many times the size of its text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < batch.num_rows:
+        within = int(np.searchsorted(ends, ends[start] - sizes[start] + _TRIE_BYTES, "right"))
+        stop = min(max(start + 1, within), start + _TEXTS)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 @worker_table
 @lru_cache(maxsize=2)
 def _encoder_bytes(path: str) -> pa.Array:

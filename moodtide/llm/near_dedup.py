@@ -206,22 +206,28 @@ def prefix_postings(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
 
 def _texts_of_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, doc_id: str) -> DataFrame:
     """(digest, text) with a text of each wanted set (digest, rep). A Bloom filter of the texts' ids spares the
-    others; texts of other sets that it passes are not asked for later."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    others; texts of other sets that it passes are not asked for later.
+
+    The filter is probed where the sets are made. A second Python function in the stage would have every executor keep
+    twice the workers, and later stages run on all of them in turn.
+    """
     filled = bloom.build(wanted.select(F.xxhash64("rep").alias("h")), wanted.count())
-    listed = rows.filter(bloom.may_contain(rows, filled, F.xxhash64("doc_id"))).select("text")
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
+    doc_id = F.col(doc_id).cast("bigint")
+    rows = docs.select(F.xxhash64(doc_id).alias("h"), F.col(text).cast("string").alias("text"))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # rows that repeat an id and a text
-        for part in slices(batches):
-            texts = texts_of(part.column(0))
-            found = [hashlib.md5(s.tobytes()).digest() for s in shingle_sets(texts, size)]
-            new = [i for i, d in enumerate(found) if d not in seen and not seen.add(d)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([found[i] for i in new], pa.binary()), part.column(0).take(pa.array(new, pa.int64()))], names=["digest", "text"]
-            )
-
-    return durable(map_batches(listed, _without_tables(digests), "digest binary, text string"))
+        for batch in batches:
+            listed = pa.array(bloom.contains(shared.value, batch.column(0).to_numpy()))
+            for part in slices(iter((batch.filter(listed),))):
+                found = [hashlib.md5(s.tobytes()).digest() for s in shingle_sets(texts_of(part.column(1)), size)]
+                new = [i for i, d in enumerate(found) if d not in seen and not seen.add(d)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([found[i] for i in new], pa.binary()), part.column(1).take(pa.array(new, pa.int64()))], names=["digest", "text"]
+                )
+
+    return durable(map_batches(rows, _without_tables(digests), "digest binary, text string"))
 
 
 def links_within(cells: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: int, text: str, doc_id: str) -> DataFrame:

@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -534,3 +535,27 @@ def test_a_worker_drops_the_tables_of_another_operator():
     assert bpe.encoder.cache_info().currsize and bpe._encoder_bytes.cache_info().currsize
     common.drop_other_tables("moodtide.llm.toxicity")
     assert not bpe.encoder.cache_info().currsize and not bpe._encoder_bytes.cache_info().currsize
+
+
+def test_no_stage_of_near_dedup_runs_two_python_functions(plain, monkeypatch):
+    """Each would keep its own workers on every executor, and the encoder's tables would later be in all of them."""
+    plans = []
+
+    def recorded(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df, *args)
+
+    monkeypatch.setattr(near_dedup, "durable", recorded)
+    near_dedup.near_duplicates(plain).collect()
+    counts = [p.count("MapInArrow") + p.count("ArrowEvalPython") for p in plans]
+    assert max(counts) == 1
+
+
+def test_texts_of_one_trie_are_bounded_by_bytes():
+    texts = ["x" * 300_000] * 5 + [None, "y" * 3_000_000, ""] + ["z"] * 1_000
+    parts = list(bpe._trie_parts(pa.RecordBatch.from_pydict({"text": texts})))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    sizes = [sum(len(t or "") for t in p.column(0).to_pylist()) for p in parts]
+    assert all(s <= bpe._TRIE_BYTES or p.num_rows == 1 for s, p in zip(sizes, parts))
+    assert all(0 < p.num_rows <= bpe._TEXTS for p in parts) and len(parts) < 10
+    assert not list(bpe._trie_parts(pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})))
