@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from moodtide.catalog import fixtures as fx
+from moodtide.catalog import fixtures as fx, queries
 from moodtide.catalog.fixtures import STUDY, rounded
 from moodtide.operators import sentiment, trends
 from moodtide.operators.cube_store import CubeStore
@@ -66,3 +66,10 @@ def test_new_store_is_empty_and_names_are_checked(spark, posts):
     assert store.cube().count() == 0 and store.batches().count() == 0
     with pytest.raises(ValueError):
         store.put("a/b", posts)
+
+
+def test_the_incremental_query_reads_the_texts_once(spark, sf_dir, monkeypatch):
+    put = []
+    monkeypatch.setattr(CubeStore, "put", lambda self, batch, tagged: put.append(tagged._jdf.queryExecution().executedPlan().toString()))
+    queries.incremental_monthly_trends(spark, sf_dir)
+    assert len(put) == 3 and not any("documents.parquet" in plan for plan in put)
