@@ -6,12 +6,12 @@ term holding the intercept. Scoring and storage therefore know one model shape o
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from moodtide.operators import logistic
 from moodtide.operators.features import (
     MAX_FEATURES, document_frequency, index_vocabulary, score_documents, term_counts, vocabulary_topn,
 )
@@ -24,7 +24,7 @@ SEED = 42
 NB_ALPHA = 1.0
 LR_C = 1.0
 LR_MAX_ITER = 1000
-# The solver stops at this relative change. Its own default leaves slopes of the objective of more than a hundredth.
+# The solver stops when the objective can fall by this share at most.
 LR_TOLERANCE = 1e-10
 
 MODEL_COLUMNS = ("term", "idf", "coefficient")
@@ -150,7 +150,7 @@ _VECTORS = StructType([StructField("label", DoubleType()), StructField("features
 
 
 def vector_table(vectors: DataFrame, size: int) -> DataFrame:
-    """(label, features) with sparse vectors. A vector is stored as a struct of its kind, size, indices and
+    """(label, features) with sparse vectors, as the estimators of pyspark.ml take them. A vector is stored as a struct of its kind, size, indices and
     values; the struct is put together by column expressions, written, and read as a vector."""
     sparse = F.struct(
         F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
@@ -165,21 +165,14 @@ def train_logistic_regression(
 ) -> DataFrame:
     """L2-regularised logistic regression over the document vectors, as a linear model table.
 
-    Spark averages the loss where the penalty is stated against its sum, hence 1 / (C * n).
+    The objective is half the squared coefficients plus C times the summed loss; the intercept carries no penalty.
     The coefficients pass the driver; the vocabulary cap bounds them.
     """
-    size = indexed.count()
-    features = vector_table(vectors, size)
-    fitted = LogisticRegression(
-        regParam=1.0 / (c * features.count()), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tolerance
-    ).fit(features)
+    fitted, bias = logistic.fit(vectors, indexed.count(), c, max_iter, tolerance)
     spark = vectors.sparkSession
-    values = [(i, float(v)) for i, v in enumerate(fitted.coefficients.toArray())]
-    coefficients = spark.createDataFrame(values, "idx int, coefficient double")
+    coefficients = spark.createDataFrame(list(enumerate(fitted.tolist())), "idx int, coefficient double")
     terms = indexed.join(coefficients, "idx").select(*MODEL_COLUMNS)
-    intercept = spark.createDataFrame(
-        [(None, None, float(fitted.intercept))], "term string, idf double, coefficient double"
-    )
+    intercept = spark.createDataFrame([(None, None, bias)], "term string, idf double, coefficient double")
     return terms.unionByName(intercept)
 
 
@@ -187,7 +180,7 @@ def logistic_regression_gradient(vectors: DataFrame, indexed: DataFrame, model:
     """(term, idf, gradient) of the stated objective, the penalty plus C times the summed loss, at the model's
     coefficients; the row without a term is the intercept. All are near 0 at the optimum."""
     rows = durable(vectors.select("label", "entries", F.monotonically_increasing_id().alias("_row")))
-    weights = indexed.join(model, "term").select("idx", "term", indexed["idf"], "coefficient")
+    weights = durable(indexed.join(model, "term").select("idx", "term", indexed["idf"], "coefficient"))
     entries = rows.select("_row", F.inline("entries"))
     margins = entries.join(weights, "idx").groupBy("_row").agg(F.sum(F.col("weight") * F.col("coefficient")).alias("margin"))
     intercept = model.filter(F.col("term").isNull()).select("coefficient").scalar()
@@ -195,7 +188,8 @@ def logistic_regression_gradient(vectors: DataFrame, indexed: DataFrame, model:
     errors = durable(
         rows.join(margins, "_row", "left").select("_row", (1.0 / (1.0 + F.exp(-margin)) - F.col("label")).alias("error"))
     )
-    sums = entries.join(errors, "_row").groupBy("idx").agg(F.sum(F.col("weight") * F.col("error")).alias("slope"))
+    with_error = rows.join(errors, "_row").select("error", F.inline("entries"))  # joined as rows, not as entries
+    sums = with_error.groupBy("idx").agg(F.sum(F.col("weight") * F.col("error")).alias("slope"))
     of_terms = weights.join(sums, "idx", "left").select(
         "term", "idf", (F.col("coefficient") + c * F.coalesce("slope", F.lit(0.0))).alias("gradient")
     )
