@@ -125,7 +125,7 @@ def fit(vectors: DataFrame, size: int, c: float, max_iter: int, tolerance: float
     s^2 / 2 of its minimum, and the search ends when that is at most ``tolerance`` of it and no slope is above
     ``MAX_SLOPE``. With rows of one class only, all coefficients are 0 and the intercept is infinite.
     """
-    blocks = row_blocks(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = row_blocks(vectors).persist(StorageLevel.MEMORY_AND_DISK_DESER)  # bytes: kept as they go to the passes
     try:
         figures = _figures(blocks, size) if blocks.getNumPartitions() else 0
         if not np.any(figures):

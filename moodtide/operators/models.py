@@ -150,8 +150,9 @@ _VECTORS = StructType([StructField("label", DoubleType()), StructField("features
 
 
 def vector_table(vectors: DataFrame, size: int) -> DataFrame:
-    """(label, features) with sparse vectors, as the estimators of pyspark.ml take them. A vector is stored as a struct of its kind, size, indices and
-    values; the struct is put together by column expressions, written, and read as a vector."""
+    """(label, features) with sparse vectors, as the estimators of pyspark.ml take them. A vector is stored as a
+    struct of its kind, size, indices and values; the struct is put together by column expressions, written, and
+    read as a vector."""
     sparse = F.struct(
         F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
         F.transform("entries", lambda e: e["idx"]).alias("indices"),
